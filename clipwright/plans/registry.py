@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from clipwright.plans import skewed
+from clipwright.plans import curation, profiles, skewed, voices
 
-MODULES = (skewed,)
+MODULES = (skewed, curation, profiles, voices)
 
 
 def queries() -> dict:
