@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.operators.skew import heavy_keys, salted_join
 from clipwright.storage import Scratch
 
 WORD = re.compile(r"[^\W_]+")
@@ -109,73 +110,76 @@ class Rule:
         return bool(p) and len(p & q) >= self.jaccard * len(p | q) - 1e-9
 
 
-def text_classes(df: DataFrame, *, record: str, text: str, side: str) -> DataFrame:
-    """(record, side, words): word sequence of each record on a side; null texts and texts without words fall out."""
+def digest(words: Sequence[str]) -> bytes:
+    """Sixteen bytes that stand for a word sequence."""
+    return xxhash.xxh3_128_digest(" ".join(words))
 
-    def norm(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(lambda t: " ".join(words_of(t)))
 
-    slim = df.select(F.col(record).alias("record"), F.col(side).cast("int").alias("side"), F.col(text).alias("t"))
-    return slim.filter("t is not null and side is not null and record is not null").select("record", "side", F.pandas_udf(norm, "string")("t").alias("words")).filter("words <> ''")  # type: ignore[call-overload]
-
-
-def cell_levels(classes: DataFrame, width: int) -> np.ndarray:
-    """log2 of the number of shingles by hash cell, over all classes: one byte for each of ``CELLS`` cells, however large the corpus."""
+def cell_levels(rows: DataFrame, width: int) -> np.ndarray:
+    """log2 of the number of shingles by hash cell, over all texts ``t``: one byte for each of ``CELLS`` cells, however large the corpus."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(CELLS, dtype=np.int64)
         for pdf in batches:
-            h = [x % CELLS for w in pdf["words"] for x in shingle_hashes(w.split(" "), width)]
+            h = [x % CELLS for t in pdf["t"] for x in shingle_hashes(words_of(t), width)]
             total += np.bincount(np.asarray(h, dtype=np.int64), minlength=CELLS)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"cell": at.astype(np.int32), "n": total[at]})
 
-    got = classes.select("words").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    got = rows.select("t").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(CELLS, dtype=np.uint8)
     if len(got):
         out[got["cell"].to_numpy()] = np.floor(np.log2(got["n"].to_numpy().astype(np.float64))).astype(np.uint8)
     return out
 
 
-def near_pairs(classes: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(a, b) of different classes, a with a record on side 0 and b with one on side 1, that are near by ``rule``.
+def sketches(rows: DataFrame, rule: Rule) -> DataFrame:
+    """(record, side, h, n, keys): digest and number of a text's words, and its sketch; texts without words fall out."""
+    levels = rows.sparkSession.sparkContext.broadcast(cell_levels(rows, rule.width))
 
-    ``classes`` has id, words, on0, on1 and should be a written table. A pair that is on both sides both ways comes out both ways.
-    """
-    levels = classes.sparkSession.sparkContext.broadcast(cell_levels(classes, rule.width))
-    width = rule.width
-
-    def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level = levels.value
         for pdf in batches:
-            ids, n, on, keys = [], [], [], []
-            for i, w, x, y in zip(pdf["id"], pdf["words"], pdf["on0"], pdf["on1"], strict=True):
-                words = w.split(" ")
-                h = shingle_hashes(words, width)
-                k = rule.sketch_size(len(words), len(h))
-                if not k:
+            out = []
+            for record, side, t in zip(pdf["record"], pdf["side"], pdf["t"], strict=True):
+                words = words_of(t)
+                if not words:
                     continue
-                least = sorted((int(level[s % CELLS]), s) for s in h)[:k]
-                ids += [i] * k
-                n += [len(words)] * k
-                on += [int(x) + 2 * int(y)] * k
-                keys += [s for _, s in least]
-            yield pd.DataFrame({"bucket": np.asarray(keys, dtype=np.uint64).astype(np.int64), "id": np.asarray(ids, dtype=np.int64), "n": np.asarray(n, dtype=np.int32), "on": np.asarray(on, dtype=np.int8)})
-
-    entries = classes.mapInPandas(bands, "bucket long, id long, n int, on byte")
-    # buckets without both sides can't give a candidate
-    entries = scratch.keep(entries)
-    mixed = entries.groupBy("bucket").agg(F.bit_or("on").alias("on"), F.count(F.lit(1)).alias("k")).filter("on = 3 and k > 1").select("bucket")
-    live = entries.join(mixed, "bucket", "left_semi")
-    a = live.filter("on in (1, 3)").select("bucket", F.col("id").alias("a"), F.col("n").alias("na"))
-    b = live.filter("on in (2, 3)").select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"))
+                h = shingle_hashes(words, rule.width) if rule.sketch_size(len(words), max(0, len(words) - rule.width + 1)) else []
+                k = rule.sketch_size(len(words), len(h))
+                least = sorted((level[s % CELLS], s) for s in h)[:k]
+                out.append((record, side, digest(words), len(words), np.asarray([s for _, s in least], dtype=np.uint64).astype(np.int64)))
+            yield pd.DataFrame(out, columns=["record", "side", "h", "n", "keys"])
+
+    kind = rows.schema["record"].dataType.simpleString()
+    return rows.mapInPandas(run, f"record {kind}, side int, h binary, n int, keys array<long>")
+
+
+def near_pairs(classes: DataFrame, rows: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """(a, b) of different classes, a with a record on side 0 and b with one on side 1, that are near by ``rule``.
+
+    ``classes`` is a written table. Texts are fetched for candidates only.
+    """
+    entries = classes.select("id", "n", "on0", "on1", F.explode("keys").alias("bucket"))
+    a = entries.filter("on0").select("bucket", F.col("id").alias("a"), F.col("n").alias("na"))
+    b = entries.filter("on1").select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"))
     longer = F.greatest("na", "nb")
     close = F.abs(F.col("na") - F.col("nb")) <= (F.floor(longer / rule.edits_part) if rule.edits_part else F.floor(longer * (1 - rule.jaccard)) + rule.width)
-    candidates = a.join(b, "bucket").filter((F.col("a") != F.col("b")) & close).select("a", "b").distinct()
-    words = classes.select("id", "words")
-    with_a = candidates.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
-    full = with_a.join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
+    candidates = scratch.keep(a.join(b, "bucket").filter((F.col("a") != F.col("b")) & close).select("a", "b").distinct())
+    ids = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
+    wanted = classes.select("id", "h", F.col("rep").alias("record")).join(ids, "id", "left_semi")
+    fetched = rows.select("record", "t").join(wanted, "record")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A record that comes with several texts is told apart by the digest."""
+        for pdf in batches:
+            words = [words_of(t) for t in pdf["t"]]
+            keep = [digest(w) == bytes(h) for w, h in zip(words, pdf["h"], strict=True)]
+            yield pd.DataFrame({"id": pdf["id"][keep], "words": [" ".join(w) for w, k in zip(words, keep, strict=True) if k]})
+
+    texts = scratch.keep(fetched.select("id", "h", "t").mapInPandas(read, "id long, words string").groupBy("id").agg(F.min("words").alias("words")))
+    with_a = candidates.join(texts.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
+    full = with_a.join(texts.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
 
     def check(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in batches:
@@ -187,16 +191,20 @@ def near_pairs(classes: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
 def cross_overlaps(df: DataFrame, rule: Rule, *, record: str, text: str, side: str) -> tuple[DataFrame, DataFrame]:
     """Membership (record, side, id) and pairs (a, b, exact) of classes across sides; a is on side 0, b on side 1.
 
-    ``side`` is 0 for training, 1 for evaluation, null for neither. Records of one word sequence share the class ``id``, the smallest record
-    (a number); a class with records on both sides is the pair (id, id). Null and wordless texts are in no class. Texts of any length are taken whole.
-    An empty table, or one side without records, gives no pairs.
+    ``side`` is 0 for training, 1 for evaluation, null for neither. Records of one word sequence (told by a 128-bit digest) share a
+    class; ids are arbitrary numbers. A class with records on both sides is the pair (id, id). Null and wordless texts are in no class. Texts of
+    any length are taken whole. Repeated rows count once in ``record_pairs``. An empty table, or one side without records, gives no pairs.
     """
     scratch = Scratch(df.sparkSession, "overlap")
-    rows = scratch.keep(text_classes(df, record=record, text=text, side=side))
-    classes = scratch.keep(rows.groupBy("words").agg(F.min("record").alias("id"), F.max(F.col("side") == 0).alias("on0"), F.max(F.col("side") == 1).alias("on1")))
-    members = rows.join(classes.select("words", "id"), "words").select("record", "side", "id")
+    slim = df.select(F.col(record).alias("record"), F.col(side).cast("int").alias("side"), F.col(text).alias("t"))
+    slim = slim.filter("t is not null and side is not null and record is not null")
+    rows = scratch.keep(sketches(slim, rule))
+    found = rows.groupBy("h").agg(F.min("record").alias("rep"), F.max(F.col("side") == 0).alias("on0"), F.max(F.col("side") == 1).alias("on1"), F.max("n").alias("n"), F.any_value("keys").alias("keys"))
+    # the numbers are fixed by the written table
+    classes = scratch.keep(found.withColumn("id", F.monotonically_increasing_id()))
+    members = salted_join(rows.select("record", "side", "h"), classes.select("h", "id"), "h", heavy=heavy_keys(rows, "h")).select("record", "side", "id")
     same = classes.filter("on0 and on1").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("exact"))
-    near = near_pairs(classes, rule, scratch).withColumn("exact", F.lit(False))
+    near = near_pairs(classes, slim, rule, scratch).withColumn("exact", F.lit(False))
     return members, same.unionByName(near)
 
 
