@@ -79,29 +79,35 @@ def cells_for(x: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, l
     return home, guests
 
 
-def _find(parent: np.ndarray, i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
+def spanning_links(x: np.ndarray, guest: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows that join them as all pairs with a cosine of at least ``least`` do, but for pairs of two guests.
 
-
-def spanning_links(x: np.ndarray, y: np.ndarray | None, least: float) -> list[tuple[int, int]]:
-    """Pairs that join the rows of x (and of y, numbered after them) as all pairs with a cosine of at least ``least`` do. With y only pairs of x and y are looked at."""
+    A row that is reached is compared with rows not reached yet and with no others, so a large group of alike rows costs
+    one product with its first row and one of its members with the rest.
+    """
     n = len(x)
-    parent = np.arange(n + (0 if y is None else len(y)))
-    out = []
-    other = x if y is None else y
-    for lo in range(0, n, 1024):
-        hit = x[lo : lo + 1024] @ other.T >= least
-        for i, j in zip(*np.nonzero(hit), strict=True):
-            a, b = lo + int(i), int(j) + (0 if y is None else n)
-            if y is None and b <= a:
-                continue
-            ra, rb = _find(parent, a), _find(parent, b)
-            if ra != rb:
-                parent[rb] = ra
-                out.append((a, b))
+    guest = np.zeros(n, bool) if guest is None else guest
+    rest_own, rest_guest = np.flatnonzero(~guest), np.flatnonzero(guest)
+    out: list[tuple[int, int]] = []
+    while len(rest_own):
+        front, rest_own = rest_own[:1], rest_own[1:]
+        while len(front):
+            now, front = front[:512], front[512:]
+            fresh = []
+            for mine, rest in ((now, rest_own), (now[~guest[now]], rest_guest)):
+                if not len(mine) or not len(rest):
+                    continue
+                hit = x[mine] @ x[rest].T >= least
+                found = hit.any(axis=0)
+                if found.any():
+                    by = mine[hit[:, found].argmax(axis=0)]
+                    out += zip(by.tolist(), rest[found].tolist(), strict=True)
+                    fresh.append(rest[found])
+                if rest is rest_own:
+                    rest_own = rest[~found]
+                else:
+                    rest_guest = rest[~found]
+            front = np.concatenate([front, *fresh])
     return out
 
 
@@ -161,19 +167,24 @@ def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch
     dealt = cell_rows.join(F.broadcast(plan), "cell", "left").withColumn("inside", F.coalesce(F.col("own") & (F.col("label") == F.col("main")), F.lit(False)))
     blocks = F.coalesce("blocks", F.lit(1))
     at = F.when(F.col("inside"), F.array(F.pmod(F.xxhash64("record"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), (blocks - 1).cast("int")))
-    dealt = dealt.select("cell", F.explode(at).alias("block"), "record", "v", "inside")
+    dealt = dealt.select("cell", F.explode(at).alias("block"), "record", "v", "inside", "own")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        inside = pdf["inside"].to_numpy(bool)
-        x, y = _stack(pdf["v"][~inside]), _stack(pdf["v"][inside])
-        rx, ry = pdf["record"][~inside].to_numpy(), pdf["record"][inside].to_numpy()
-        names = np.concatenate([rx, ry])
-        pairs = spanning_links(x, None, least) if len(x) and int(pdf["block"].iloc[0]) == 0 else []
-        if len(x) and len(y):
-            pairs += spanning_links(x, y, least)
-        return pd.DataFrame([(names[a], names[b]) for a, b in pairs], columns=["a", "b"])
-
-    # cells without rows outside the main group need no comparison
+        """Rows of the main group are linked to a pivot already: only the first of them starts a search, and the others are met by rows outside the group."""
+        inside, own = pdf["inside"].to_numpy(bool), pdf["own"].to_numpy(bool)
+        x, names = _stack(pdf["v"]), pdf["record"].to_numpy()
+        out, other = [], np.flatnonzero(~inside)
+        main_rows = np.flatnonzero(inside)
+        if len(main_rows) and len(other):
+            for lo in range(0, len(main_rows), 1024):
+                part = main_rows[lo : lo + 1024]
+                hit = x[part] @ x[other].T >= least
+                found = hit.any(axis=0)
+                out += zip(part[hit[:, found].argmax(axis=0)].tolist(), other[found].tolist(), strict=True)
+        if len(other) and int(pdf["block"].iloc[0]) == 0:
+            out += [(int(other[a]), int(other[b])) for a, b in spanning_links(x[other], ~own[other], least)]
+        return pd.DataFrame([(names[a], names[b]) for a, b in out], columns=["a", "b"])
+
     found = dealt.groupBy("cell", "block").applyInPandas(link, "a string, b string")
     stars = marked.filter("pivot is not null").select(F.col("record").alias("a"), F.col("pivot").alias("b"))
     within = [(names[a], names[b]) for x, _, names in table.values() for a, b in spanning_links(x, None, least)]
@@ -181,7 +192,7 @@ def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch
 
 
 def similarity_clusters(
-    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, reach: float = 0.25, seed: int = 7
+    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, reach: float = 0.12, seed: int = 7
 ) -> DataFrame:
     """(record, cluster_key): each usable record and the smallest record of its cluster, singles included.
 
