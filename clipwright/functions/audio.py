@@ -103,15 +103,20 @@ def vad_mask(x: np.ndarray, vad: Callable[[np.ndarray, int], np.ndarray] = energ
     return smooth(align(np.asarray(vad(frames, VAD_RATE), dtype=bool), len(x) // FRAME))
 
 
+def stays(mask: np.ndarray, max_gap: int = 5, keep: int = 3) -> np.ndarray:
+    """Frames that stay when non-speech runs longer than ``max_gap`` are cut to their first ``keep``."""
+    out = np.ones(len(mask), bool)
+    for a, b in zip(*_edges(~np.asarray(mask, bool)), strict=True):
+        if b - a > max_gap:
+            out[a + keep : b] = False
+    return out
+
+
 def trim_gaps(x: np.ndarray, mask: np.ndarray, max_gap: int = 5, keep: int = 3, frame: int = FRAME) -> np.ndarray:
-    """Audio without the tails of non-speech runs longer than ``max_gap`` frames. An empty mask leaves the audio as it is."""
+    """Audio without the tails of long non-speech runs. An empty mask leaves the audio as it is."""
     if not len(mask):
         return x
-    stay = np.ones(len(mask), bool)
-    for a, b in zip(*_edges(~np.asarray(mask, bool)), strict=True):
-        if b - a > max_gap:
-            stay[a + keep : b] = False
-    pick = np.repeat(stay, frame)[: len(x)]
+    pick = np.repeat(stays(mask, max_gap, keep), frame)[: len(x)]
     return x[: len(pick)][pick]
 
 

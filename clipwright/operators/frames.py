@@ -1,14 +1,21 @@
 """Frame masks and powers: smoothing, gap trimming and quality metrics, on one row for each clip with arrays in frame order.
 
-A clip's frames are bounded by its length, so arrays keep each clip in one row and nothing is shuffled; runs are found by
-array functions inside the JVM. ``from_frames`` builds the arrays from a table of frames.
+A clip's frames are bounded by its length, so arrays keep each clip in one row and nothing is shuffled. Runs are found by
+numpy kernels, as array functions would look at each run once for every frame; sums stay in the JVM. ``from_frames`` builds the
+arrays from a table of frames.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.functions.audio import smooth, stays
+
 MIN_SPEECH = 3
 BRIDGE = 2
 MAX_GAP = 5
@@ -23,25 +30,18 @@ def from_frames(df: DataFrame, clip: str, order: str, mask: Column, power: Colum
     return rows.select(clip, F.col("f.m").alias("mask"), F.col("f.p").alias("power"))
 
 
-def runs(mask: Column) -> Column:
-    """Runs of equal frames as structs (value, start, length), in order."""
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(mask) - 1, F.lit(0))), lambda i: (i == 0) | (F.get(mask, i) != F.get(mask, i - 1)))
-    out = F.transform(starts, lambda s, k: F.struct(F.get(mask, s).alias("value"), s.alias("start"), (F.coalesce(F.get(starts, k + 1), F.size(mask)) - s).alias("length")))
-    return F.when(F.size(mask) > 0, out).otherwise(F.filter(out, lambda r: F.lit(False)))
+def _per_clip(df: DataFrame, mask: str, into: str, kernel: Callable[[np.ndarray], np.ndarray], kind: str) -> DataFrame:
+    """A numpy kernel over each clip's mask, in Arrow batches; linear in the frames. Null masks stay null."""
 
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda m: None if m is None else kernel(np.asarray(m, dtype=bool)))
 
-def unrun(r: Column) -> Column:
-    """The mask of runs."""
-    return F.flatten(F.transform(r, lambda x: F.array_repeat(x["value"], x["length"])))
+    return df.withColumn(into, F.pandas_udf(run, f"array<{kind}>")(F.col(mask)))  # type: ignore[call-overload]
 
 
 def smooth_mask(df: DataFrame, mask: str = "mask", into: str = "smooth", min_speech: int = MIN_SPEECH, bridge: int = BRIDGE) -> DataFrame:
     """Speech runs shorter than ``min_speech`` go, then gaps of at most ``bridge`` frames between speech are closed. Leading and trailing gaps stay."""
-    short = lambda x: F.struct((x["value"] & (x["length"] >= min_speech)).alias("value"), x["start"].alias("start"), x["length"].alias("length"))
-    step = df.withColumn("_a", unrun(F.transform(runs(F.col(mask)), short))).withColumn("_r", runs(F.col("_a")))
-    last = F.size("_r") - 1
-    close = F.transform("_r", lambda x, k: F.struct((x["value"] | ((x["length"] <= bridge) & (k > 0) & (k < last))).alias("value"), x["start"].alias("start"), x["length"].alias("length")))
-    return step.withColumn(into, F.coalesce(unrun(close), F.array().cast("array<boolean>"))).drop("_a", "_r")
+    return _per_clip(df, mask, into, lambda m: smooth(m, min_speech, bridge), "boolean")
 
 
 def speech_bounds(df: DataFrame, mask: str = "mask", buffer: int = 13) -> DataFrame:
@@ -56,16 +56,17 @@ def speech_bounds(df: DataFrame, mask: str = "mask", buffer: int = 13) -> DataFr
 
 def kept_frames(df: DataFrame, mask: str = "mask", into: str = "kept", max_gap: int = MAX_GAP, keep: int = KEEP_GAP) -> DataFrame:
     """Frames that stay when each gap longer than ``max_gap`` is cut to its first ``keep`` frames: their numbers."""
-    r = runs(F.col(mask))
-    stay = F.transform(r, lambda x: F.sequence(x["start"], x["start"] + F.when(~x["value"] & (x["length"] > max_gap), F.lit(keep)).otherwise(x["length"]) - 1))
-    return df.withColumn(into, F.flatten(stay))
+    return _per_clip(df, mask, into, lambda m: np.flatnonzero(stays(m, max_gap, keep)).astype(np.int32), "int")
 
 
 def gaps(df: DataFrame, mask: str = "mask", into: str = "gaps") -> DataFrame:
     """Lengths of the gaps between neighbouring speech frames, in order, without zero ones."""
-    r = runs(F.col(mask))
-    inner = F.filter(r, lambda x: ~x["value"] & (x["start"] > 0) & (x["start"] + x["length"] < F.size(mask)))
-    return df.withColumn(into, F.transform(inner, lambda x: x["length"]))
+
+    def inner(m: np.ndarray) -> np.ndarray:
+        steps = np.diff(np.flatnonzero(m)) - 1
+        return steps[steps > 0].astype(np.int32)
+
+    return _per_clip(df, mask, into, inner, "int")
 
 
 def quality(df: DataFrame, mask: str = "mask", power: str = "power", frame_seconds: float = FRAME_SECONDS) -> DataFrame:

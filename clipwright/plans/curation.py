@@ -243,5 +243,5 @@ SQL = {
         max(length(transcription))::INT AS longest, avg(length(transcription)) AS mean_length FROM clips_text""",
     "norm_diff": f"SELECT row_id, transcription AS before, {_norm('transcription')} AS after FROM clips_text WHERE transcription <> {_norm('transcription')} ORDER BY row_id LIMIT 10",
     "duration_text": """SELECT source_speaker_id, format('{}:{:02d}:{:02d}', s // 3600, s % 3600 // 60, s % 60) AS time FROM (
-        SELECT source_speaker_id, round(sum(duration::DECIMAL(12,3)), 0)::BIGINT AS s FROM clips_split WHERE source_speaker_id IS NOT NULL AND NOT isnan(duration) GROUP BY 1)""",
+        SELECT source_speaker_id, round(sum(CASE WHEN duration::VARCHAR <> 'nan' THEN duration::VARCHAR::DECIMAL(12,3) END), 0)::BIGINT AS s FROM clips_split WHERE source_speaker_id IS NOT NULL AND duration::VARCHAR <> 'nan' GROUP BY 1)""",
 }

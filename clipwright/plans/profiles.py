@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipwright.functions.text import strip
 from clipwright.operators.profile import (
     by_speaker_category, category_votes, clip_histogram, coverage, dominant_category, duration_buckets, fixed_distribution, long_tail, majority, medians, metric_stats, ranked_speakers, speaker_profile,
 )
@@ -30,7 +31,7 @@ def speaker_rank(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _genders(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "clips_annotated").select("source_speaker_id", F.lower(F.trim("gender")).alias("gender"))
+    return table(spark, d, "clips_annotated").select("source_speaker_id", F.lower(strip(F.col("gender"))).alias("gender"))
 
 
 def gender_conflict(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +79,7 @@ def gender_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def dominant_gender(spark: SparkSession, d: str) -> DataFrame:
     out = dominant_category(table(spark, d, "clip_voice"), "source_speaker_id", "gender_predicted", "gender_confidence")
-    return out.withColumn("mean_confidence", F.round("mean_confidence", 6))
+    return out.withColumn("mean_confidence", F.round("mean_confidence", 12))
 
 
 def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -124,9 +125,11 @@ QUERIES = {
     )
 }
 
-_TIMED = "(SELECT *, CASE WHEN isnan(duration) THEN NULL ELSE round(duration * 1000)::BIGINT END AS ms FROM clips_split)"
+# NaN is told by its text, as DuckDB folds isnan() by footer statistics, which leave NaN out
+_TIMED = "(SELECT *, CASE WHEN (duration::VARCHAR = 'nan') THEN NULL ELSE round(duration * 1000)::BIGINT END AS ms FROM clips_split)"
 _COUNTS = "(SELECT source_speaker_id, count(*) AS clips FROM clips_annotated WHERE source_speaker_id IS NOT NULL GROUP BY 1)"
-_G = "(SELECT source_speaker_id, lower(trim(gender)) AS gender FROM clips_annotated WHERE source_speaker_id IS NOT NULL)"
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_G = f"(SELECT source_speaker_id, lower(regexp_replace(gender, '^{_WS}+|{_WS}+$', '', 'g')) AS gender FROM clips_annotated WHERE source_speaker_id IS NOT NULL)"
 _MAJ = f"""(SELECT source_speaker_id, gender AS majority FROM (SELECT source_speaker_id, gender, count(*) AS n FROM {_G} WHERE gender IS NOT NULL GROUP BY 1, 2)
     QUALIFY row_number() OVER (PARTITION BY source_speaker_id ORDER BY n DESC, gender) = 1)"""
 _SPLIT = """(SELECT row_id, source_speaker_id, CASE WHEN n = 1 OR r <= floor(n * 0.8::DOUBLE) THEN 'train' WHEN r <= floor(n * 0.8::DOUBLE) + floor(n * 0.1::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM (
@@ -134,12 +137,12 @@ _SPLIT = """(SELECT row_id, source_speaker_id, CASE WHEN n = 1 OR r <= floor(n *
     FROM clips_annotated WHERE source_speaker_id IS NOT NULL))"""
 _THIRDS = """(SELECT row_id, source_speaker_id, CASE WHEN r <= greatest(1, n // 3) THEN 'low' WHEN r <= greatest(greatest(1, n // 3) + 1, n - n // 3) THEN 'mid' ELSE 'high' END AS tier FROM (
     SELECT row_id, source_speaker_id, count(*) OVER (PARTITION BY source_speaker_id) AS n, row_number() OVER (PARTITION BY source_speaker_id ORDER BY quality_score, row_id) AS r
-    FROM clips_split WHERE source_speaker_id IS NOT NULL AND quality_score IS NOT NULL AND NOT isnan(quality_score)))"""
+    FROM clips_split WHERE source_speaker_id IS NOT NULL AND quality_score IS NOT NULL AND NOT (quality_score::VARCHAR = 'nan')))"""
 _BUCKETS = "(VALUES ('1-9', 1, 9), ('10-24', 10, 24), ('25-49', 25, 49), ('50-99', 50, 99), ('100-199', 100, 199), ('200-499', 200, 499), ('500+', 500, NULL)) b(label, low, high)"
 
 
 def _metric(c: str) -> str:
-    return f"""SELECT '{c}' AS metric, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS least, max(v) AS most FROM (SELECT CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS v FROM clips_split)"""
+    return f"""SELECT '{c}' AS metric, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS least, max(v) AS most FROM (SELECT CASE WHEN ({c}::VARCHAR = 'nan') THEN NULL ELSE {c} END AS v FROM clips_split)"""
 
 
 SQL = {
@@ -156,13 +159,13 @@ SQL = {
     "long_tail_summary": f"""SELECT *, tail_speakers / speakers AS tail_speaker_share, tail_clips / clips AS tail_clip_share FROM (SELECT count(*) AS speakers, sum(clips)::BIGINT AS clips,
         count(*) FILTER (clips < 50) AS tail_speakers, coalesce(sum(clips) FILTER (clips < 50), 0)::BIGINT AS tail_clips FROM {_COUNTS})""",
     "metric_summary": " UNION ALL ".join(_metric(c) for c in METRICS),
-    "metric_medians": " UNION ALL ".join(f"SELECT '{c}' AS metric, median({c}) AS median FROM clips_split WHERE NOT isnan({c})" for c in METRICS),
+    "metric_medians": " UNION ALL ".join(f"SELECT '{c}' AS metric, median({c}) AS median FROM clips_split WHERE NOT ({c}::VARCHAR = 'nan')" for c in METRICS),
     "duration_histogram": """SELECT count(*) FILTER (d < 5) AS under_5, count(*) FILTER (d >= 5 AND d < 10) AS from_5_to_10, count(*) FILTER (d >= 10 AND d < 15) AS from_10_to_15,
-        count(*) FILTER (d >= 15 AND d < 20) AS from_15_to_20, count(*) FILTER (d >= 20) AS from_20, count(*) FILTER (d IS NULL) AS unknown FROM (SELECT CASE WHEN NOT isnan(duration) THEN duration END AS d FROM clips_split)""",
+        count(*) FILTER (d >= 15 AND d < 20) AS from_15_to_20, count(*) FILTER (d >= 20) AS from_20, count(*) FILTER (d IS NULL) AS unknown FROM (SELECT CASE WHEN NOT (duration::VARCHAR = 'nan') THEN duration END AS d FROM clips_split)""",
     "gender_counts": """SELECT count(*) FILTER (gender_predicted = 'Female') AS female, count(*) FILTER (gender_predicted = 'Male') AS male, count(*) FILTER (gender_predicted = 'Unknown') AS unknown FROM clip_voice""",
     "dominant_gender": """WITH p AS (SELECT source_speaker_id, count(*) AS total, count(*) FILTER (gender_predicted = 'Female') AS female, count(*) FILTER (gender_predicted = 'Male') AS male,
         count(*) FILTER (gender_predicted = 'Unknown') AS unknown, count(*) FILTER (gender_predicted = 'ERROR') AS errors,
-        round(avg(gender_confidence) FILTER (gender_predicted IS DISTINCT FROM 'ERROR'), 6) AS mean_confidence FROM clip_voice WHERE source_speaker_id IS NOT NULL GROUP BY 1)
+        round(avg(gender_confidence) FILTER (gender_predicted IS DISTINCT FROM 'ERROR'), 12) AS mean_confidence FROM clip_voice WHERE source_speaker_id IS NOT NULL GROUP BY 1)
         SELECT *, CASE WHEN female >= male THEN 'Female' ELSE 'Male' END AS dominant, greatest(female, male) / greatest(total - unknown - errors, 1) AS dominant_share,
         concat_ws(' ', CASE WHEN unknown / total > 0.15 THEN 'HIGH_UNKNOWN' END, CASE WHEN female > 0 AND male > 0 AND least(female, male) / total > 0.20 THEN 'SPLIT' END) AS flags FROM p""",
     "distinct_counts": "SELECT count(DISTINCT source_speaker_id) AS speakers, count(DISTINCT source_id) AS clips, count(*) AS rows FROM clips_annotated",

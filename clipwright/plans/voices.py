@@ -73,7 +73,7 @@ def cluster_votes(spark: SparkSession, d: str) -> DataFrame:
 
 def cluster_report(spark: SparkSession, d: str) -> DataFrame:
     out = report(table(spark, d, "clip_voice"))
-    return out.withColumns({c: F.round(c, 6) for c in ("mean_gender_confidence", "mean_cluster_confidence")})
+    return out.withColumns({c: F.round(c, 12) for c in ("mean_gender_confidence", "mean_cluster_confidence")})
 
 
 def cluster_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -217,7 +217,7 @@ SQL = {
     "lr_score": f"""SELECT vec_id, CASE WHEN greatest(p, 1 - p) < 0.65 THEN 'Unknown' WHEN p > 0.5 THEN 'Male' ELSE 'Female' END AS gender_predicted, round(greatest(p, 1 - p), 6) AS gender_confidence
         FROM (SELECT vec_id, 1 / (1 + exp(-(0.1 + {_SCORE}))) AS p FROM embeddings)""",
     "cluster_votes": _VOTES,
-    "cluster_report": f"""WITH v AS ({_VOTES}), s AS ({_SOURCES}), m AS (SELECT cluster_id, round(avg(gender_confidence), 6) AS mean_gender_confidence, round(avg(cluster_confidence), 6) AS mean_cluster_confidence FROM clip_voice GROUP BY 1)
+    "cluster_report": f"""WITH v AS ({_VOTES}), s AS ({_SOURCES}), m AS (SELECT cluster_id, round(avg(gender_confidence), 12) AS mean_gender_confidence, round(avg(cluster_confidence), 12) AS mean_cluster_confidence FROM clip_voice GROUP BY 1)
         SELECT *, concat_ws('|', CASE WHEN cluster_gender = 'Mixed' THEN 'MIXED_GENDER' END, CASE WHEN unique_source_speakers > 3 THEN 'MANY_SOURCES' END) AS flag FROM v JOIN s USING (cluster_id) JOIN m USING (cluster_id)""",
     "cluster_flags": f"""WITH v AS ({_VOTES}), s AS ({_SOURCES}), j AS (SELECT c.*, coalesce(cluster_gender, 'Unknown') AS cg, coalesce(cluster_size, 0) AS cs, coalesce(unique_source_speakers, 0) AS us
         FROM clip_voice c LEFT JOIN v ON c.cluster_id = v.cluster_id LEFT JOIN s ON c.cluster_id = s.cluster_id)
@@ -242,5 +242,5 @@ SQL = {
         CASE WHEN NOT coalesce(speech_ratio * 12 >= 8, false) THEN 'insufficient_decay' END) AS r FROM clips_split)""",
     "pop_advice": """SELECT language, percent, CASE WHEN percent < 5 THEN 'leave_as_is' WHEN percent < 10 THEN 'consider_conditional_fade_for_flagged' ELSE 'consider_global_fade_in' END AS suggestion
         FROM (SELECT language, count(*) FILTER (snr_db < 20) * 100.0::DOUBLE / count(*) AS percent FROM clips_split GROUP BY 1)""",
-    "loudness_decision": """SELECT row_id, CASE WHEN snr_db IS NULL OR isnan(snr_db) THEN 'failed_loudness_measurement' WHEN abs(-23 + snr_db) <= 1 THEN 'skipped_within_tolerance' ELSE 'normalized' END AS status FROM clips_split""",
+    "loudness_decision": """SELECT row_id, CASE WHEN snr_db IS NULL OR snr_db::VARCHAR = 'nan' THEN 'failed_loudness_measurement' WHEN abs(-23 + snr_db) <= 1 THEN 'skipped_within_tolerance' ELSE 'normalized' END AS status FROM clips_split""",
 }
