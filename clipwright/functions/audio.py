@@ -42,21 +42,24 @@ def whole_frames(x: np.ndarray, frame: int = FRAME) -> np.ndarray:
 
 
 def resample(x: np.ndarray, source: int, target: int, zeros: int = 16) -> np.ndarray:
-    """Windowed-sinc interpolation, low-passed at the lower of both rates."""
+    """Windowed-sinc interpolation, low-passed at the lower of both rates, by a bank of filters: one for each phase of the ratio."""
     x = np.asarray(x, dtype=np.float64)
     if source == target or not len(x):
         return x.astype(np.float32)
-    n = int(np.ceil(len(x) * target / source))
-    cut = min(1.0, target / source)
+    up, down = target // np.gcd(source, target), source // np.gcd(source, target)
+    n = -(-len(x) * up // down)
+    cut = min(1.0, up / down)
     half = int(np.ceil(zeros / cut))
+    padded = np.concatenate([np.zeros(half), x, np.zeros(half + down)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * half)
+    taps = np.arange(-half + 1, half + 1)
     out = np.empty(n)
-    for lo in range(0, n, 65_536):
-        at = np.arange(lo, min(n, lo + 65_536)) * (source / target)
-        base = np.floor(at).astype(int)
-        offs = base[:, None] + np.arange(-half + 1, half + 1)[None, :]
-        d = at[:, None] - offs
-        w = cut * np.sinc(cut * d) * (0.5 + 0.5 * np.cos(np.pi * np.clip(d / half, -1, 1)))
-        out[lo : lo + len(at)] = (np.where((offs >= 0) & (offs < len(x)), x[np.clip(offs, 0, len(x) - 1)], 0.0) * w).sum(axis=1)
+    for phase in range(min(up, n)):
+        start, part = divmod(phase * down, up)
+        d = part / up - taps
+        h = cut * np.sinc(cut * d) * (0.5 + 0.5 * np.cos(np.pi * np.clip(d / half, -1, 1)))
+        count = -(-(n - phase) // up)
+        out[phase::up] = windows[start + 1 :: down][:count] @ h
     return out.astype(np.float32)
 
 
