@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.storage import Scratch
+
 # Letters that can't be told apart in common type faces; the Latin one comes first in each class.
 LOOKALIKES = (
     "AΑА", "BΒВ", "CϹС", "EΕЕ", "FϜ", "GԌ", "HΗН", "IΙІӀ", "JͿЈ", "KΚК", "MΜМ", "NΝ", "OΟОՕ", "PΡР", "QԚ", "SЅՏ", "TΤТ", "UՍ", "VѴ", "WԜ", "XΧХ", "YΥҮ", "ZΖ",
@@ -25,6 +27,7 @@ LOOKALIKES = (
     "-‐‒−⁃",
 )
 CLASS = {c: k for k, members in enumerate(LOOKALIKES) for c in members}
+OPTIONS = {members[0]: members for members in LOOKALIKES}
 SKELETON = {ord(c): members[0] for members in LOOKALIKES for c in members[1:]}
 # Characters that show nothing though their category is not Cf or Cc
 SHOWS_NOTHING = frozenset([0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)])
@@ -99,32 +102,49 @@ class Model:
         self.steps: dict[tuple[str, str], float] = {}
         self.cache: dict[str, str] = {}
 
-    def step(self, a: str, b: str) -> float:
-        found = self.steps.get((a, b))
-        if found is None:
-            ka, kb = (EDGE if x == EDGE else kind(x) for x in (a, b))
-            sa, sb = ("" if x == EDGE else script(x) for x in (a, b))
-            found = math.log((self.counts.get((ka, kb), 0) + 1) / (self.row[ka] + self.size)) - (SCRIPT_CHANGE if sa and sb and sa != sb else 0)
-            if len(self.steps) > CACHE:
-                self.steps.clear()
-            self.steps[a, b] = found
+    def cost(self, a: str, b: str) -> float:
+        """Negative log probability of b after a, and more if the script changes."""
+        ka, kb = (EDGE if x == EDGE else kind(x) for x in (a, b))
+        sa, sb = ("" if x == EDGE else script(x) for x in (a, b))
+        found = (SCRIPT_CHANGE if sa and sb and sa != sb else 0.0) - math.log((self.counts.get((ka, kb), 0) + 1) / (self.row[ka] + self.size))
+        if len(self.steps) > CACHE:
+            self.steps.clear()
+        self.steps[a, b] = found
         return found
 
     def best(self, lattice: str) -> str:
-        """The best spelling of a skeleton token; of equal scores the smaller string. Accents keep their place behind their letter."""
+        """The best spelling of a skeleton token; of equal scores the one earlier in its class. Accents keep their place behind their letter."""
         found = self.cache.get(lattice)
         if found is not None:
             return found
-        paths = {EDGE: (0.0, "")}
-        for c in lattice:
-            if unicodedata.combining(c):
-                paths = {a: (s, p + c) for a, (s, p) in paths.items()}
+        steps = self.steps
+        options, scores = (EDGE,), [0.0]
+        trail: list[tuple[str, list[int]]] = []
+        for c in [*lattice, EDGE]:
+            if c > "\u02ff" and unicodedata.combining(c):
+                trail.append((c, []))
                 continue
-            new = {}
-            for b in LOOKALIKES[CLASS[c]] if c in CLASS else c:
-                new[b] = min(((s - self.step(a, b), p + b) for a, (s, p) in paths.items()))
-            paths = new
-        found = min((s - self.step(a, EDGE), p) for a, (s, p) in paths.items())[1]
+            choices = OPTIONS.get(c, c)
+            new, back = [], []
+            for b in choices:
+                low, at = math.inf, 0
+                for i, a in enumerate(options):
+                    step = steps.get((a, b))
+                    v = scores[i] + (self.cost(a, b) if step is None else step)
+                    if v < low:
+                        low, at = v, i
+                new.append(low)
+                back.append(at)
+            trail.append((choices, back))
+            options, scores = choices, new
+        out, at = [], 0
+        for choices, back in reversed(trail):
+            if back:
+                out.append(choices[at])
+                at = back[at]
+            else:
+                out.append(choices)
+        found = "".join(reversed(out[1:]))
         if len(self.cache) > CACHE:
             self.cache.clear()
         self.cache[lattice] = found
@@ -177,7 +197,8 @@ def canonical_text(df: DataFrame, text: str, into: str = "canonical", *, counts:
         for s in batches:
             yield s.map(lambda t: None if t is None else model.canonical(t)).astype(object)
 
-    return df.withColumn(into, F.pandas_udf(apply, "string")(F.col(text)))  # type: ignore[call-overload]
+    # declared so that a filter on the result doesn't make Spark run it twice
+    return df.withColumn(into, F.pandas_udf(apply, "string").asNondeterministic()(F.col(text)))  # type: ignore[call-overload]
 
 
 def lookalike_pairs(df: DataFrame, text: str, record: str) -> DataFrame:
@@ -186,12 +207,16 @@ def lookalike_pairs(df: DataFrame, text: str, record: str) -> DataFrame:
     Each different text of a canonical form is joined once with the others of its form, and only the found pairs are spread to
     their records, so copies of one text make no work beyond the result. Null ``record`` values are ignored.
     """
-    slim = df.select(F.col(record).alias("r"), F.col(text).alias("t")).filter("t is not null and r is not null")
-    forms = canonical_text(slim, "t", "form").filter("form <> ''")
-    texts = forms.groupBy("form", "t").agg(F.count(F.lit(1)).alias("n"))
+    scratch = Scratch(df.sparkSession, "lookalike")
+    slim = df.select(F.col(record).alias("r"), F.col(text).alias("text")).filter("text is not null and r is not null")
+    # digests of 128 bits stand for texts and forms, so no text is shuffled
+    forms = canonical_text(slim, "text", "form").filter("form <> ''").select("r", F.unhex(F.md5("text")).alias("t"), F.unhex(F.md5("form")).alias("form"))
+    rows = scratch.keep(forms)
+    texts = rows.groupBy("form", "t").agg(F.count(F.lit(1)).alias("n"))
     many = texts.groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
-    several = texts.join(many, "form", "left_semi").select("form", "t")
+    several = scratch.keep(texts.join(many, "form", "left_semi").select("form", "t"))
     twins = several.alias("x").join(several.alias("y"), "form").filter("x.t < y.t").select(F.col("x.t").alias("t"), F.col("y.t").alias("u"))
-    a = twins.join(slim.select("t", F.col("r").alias("a")), "t")
-    both = a.join(slim.select(F.col("t").alias("u"), F.col("r").alias("b")), "u").filter("a <> b")
+    few = scratch.keep(rows.join(several.select("t").distinct(), "t", "left_semi").select("r", "t"))
+    a = twins.join(few.select("t", F.col("r").alias("a")), "t")
+    both = a.join(few.select(F.col("t").alias("u"), F.col("r").alias("b")), "u").filter("a <> b")
     return both.select(F.least("a", "b").alias("row_id_a"), F.greatest("a", "b").alias("row_id_b")).distinct()
