@@ -76,6 +76,8 @@ def write_wavs(df: DataFrame, folder: str, *, name: str, samples: str, rate: str
             rows = []
             for n, x, r in zip(pdf["n"], pdf["x"], pdf["r"], strict=True):
                 try:
+                    if x is None:
+                        raise ValueError("no samples")
                     path = os.path.join(folder, os.path.basename(f"{n}.wav"))
                     with open(f"{path}.{os.getpid()}", "wb") as f:
                         f.write(encode_wav(x, int(r)))

@@ -80,13 +80,13 @@ def test_regroup_and_rebuild(spark):
 
     rng = np.random.default_rng(0)
     rows = []
-    for i in range(90):
-        c = np.eye(6)[i % 3] + rng.normal(0, 0.05, 6)
-        rows.append((f"c{i:02d}", [float(v) for v in c], True, "Female" if i % 3 < 2 else "Male", 0, 0.0, False))
+    for i in range(120):
+        c = np.eye(6)[i % 4] + rng.normal(0, 0.05, 6)
+        rows.append((f"c{i:03d}", [float(v) for v in c], True, "Female" if i % 4 < 2 else "Male", 0, 0.0, False))
     voices = spark.createDataFrame(rows, "source_id string, embedding array<float>, embedding_ok boolean, gender_predicted string, cluster_id int, cluster_confidence double, noise_rescued boolean")
     out = pipeline.regroup_speakers(voices, dims=6, least=10, samples=3)
-    assert {r["cluster_id"] for r in out.collect()} <= {-1, 0, 1, 2} and out.filter("cluster_id >= 0").count() > 80
-    clips = spark.createDataFrame([(f"c{i:02d}", "t", "sna", True, 1.0, 1.0, 1.0, 5.0) for i in range(90)], "source_id string, transcription string, language string, has_punctuation boolean, snr_db double, speech_ratio double, quality_score double, duration double")
+    assert {r["cluster_id"] for r in out.collect()} <= {-1, 0, 1, 2, 3} and out.filter("cluster_id >= 0").count() > 100
+    clips = spark.createDataFrame([(f"c{i:03d}", "t", "sna", True, 1.0, 1.0, 1.0, 5.0) for i in range(120)], "source_id string, transcription string, language string, has_punctuation boolean, snr_db double, speech_ratio double, quality_score double, duration double")
     mapping = out.withColumn("cluster_gender", F.col("gender_predicted"))
     built = pipeline.rebuild(clips, mapping)
     assert built.count() == out.filter("cluster_id >= 0").count() and dict(built.dtypes)["snr_db"] == "float"
