@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -39,15 +40,27 @@ def hashed_features(df: DataFrame, text: str, into: str = "embedding", *, dims:
 
 
 def usable_vectors(df: DataFrame, *, record: str, vector: str, ok: str | None, dims: int | None) -> DataFrame:
-    """(record, v): unit vectors. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims``."""
+    """(record, h, v): unit vectors with a 128-bit digest. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims`` (without it: than their batch's first)."""
     rows = df.filter(F.coalesce(F.col(ok), F.lit(True))) if ok else df
-    v = F.col(vector).cast("array<double>")
-    rows = rows.select(F.col(record).cast("string").alias("record"), v.alias("x")).filter("record is not null and x is not null")
+    rows = rows.select(F.col(record).cast("string").alias("record"), F.col(vector).alias("x")).filter("record is not null and x is not null and size(x) > 0")
     if dims:
         rows = rows.filter(F.size("x") == dims)
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, e: s + e * e))
-    rows = rows.withColumn("n", norm).filter("n is not null and not isnan(n) and n > 0 and n < double('Infinity')")
-    return rows.select("record", F.transform("x", lambda e: (e / F.col("n")).cast("float")).alias("v"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            sizes = pdf["x"].map(len)
+            pdf = pdf[sizes == (dims or sizes.iloc[0])]
+            x = np.stack([np.asarray(e, dtype=np.float64) for e in pdf["x"]])
+            n = np.sqrt((x * x).sum(axis=1))
+            good = np.isfinite(n) & (n > 0)
+            if not good.any():
+                continue
+            v = (x[good] / n[good, None]).astype(np.float32)
+            yield pd.DataFrame({"record": pdf["record"][good].to_numpy(), "h": [xxhash.xxh3_128_digest(r.tobytes()) for r in v], "v": list(v)})
+
+    return rows.mapInPandas(run, "record string, h binary, v array<float>")
 
 
 def fit_centroids(vectors: DataFrame, k: int, *, seed: int = 7, rounds: int = 2, steps: int = 4) -> np.ndarray:
@@ -202,14 +215,15 @@ def similarity_clusters(
     (see ``usable_vectors``) are left out; an empty table gives no rows.
     """
     scratch = Scratch(df.sparkSession, "clusters")
-    rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims).distinct())
-    distinct = scratch.keep(rows.groupBy("v").agg(F.min("record").alias("record")))
+    rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims))
+    # equal vectors once, told by their digests
+    distinct = scratch.keep(rows.groupBy("h").agg(F.min("record").alias("record"), F.any_value("v").alias("v")))
     n = distinct.count()
-    same = rows.join(distinct.withColumnRenamed("record", "first"), "v").select(F.col("record").alias("a"), F.col("first").alias("b"))
+    same = salted_join(rows.select("record", "h"), distinct.select("h", F.col("record").alias("first")), "h", heavy=heavy_keys(rows, "h")).select(F.col("record").alias("a"), F.col("first").alias("b"))
     if n > 1:
         k = cells or min(MAX_CELLS, max(1, round(math.sqrt(n))))
         # one record may have several vectors, so vectors go by record and number
-        named = scratch.keep(distinct.withColumn("record", F.concat_ws("\1", F.lpad(F.hex(F.xxhash64("v")), 16, "0"), "record")))
+        named = distinct.select(F.concat_ws("\1", F.hex("h"), "record").alias("record"), "v")
         centroids = fit_centroids(named, k, seed=seed) if k > 1 else np.asarray([named.first()["v"]], dtype=np.float32)
         links = alike_links(named, centroids, least, scratch, reach=reach)
         bare = lambda c: F.substring_index(c, "\1", -1)
@@ -224,10 +238,12 @@ def describe_clusters(df: DataFrame, members: DataFrame, *, record: str, vector:
 
     A record with several vectors counts once in ``size`` and by its nearest vector in ``typical``.
     """
-    rows = usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims).distinct()
     scratch = Scratch(df.sparkSession, "describe")
-    joined = scratch.keep(rows.join(members, "record"))
-    width = dims or len(joined.first()["v"])
+    rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims))
+    once = rows.groupBy("record", "h").agg(F.any_value("v").alias("v"))
+    joined = scratch.keep(salted_join(once, members, "record", heavy=heavy_keys(once, "record")).drop("h"))
+    head = joined.first()
+    width = dims or (len(head["v"]) if head else 1)
     sums = joined.groupBy("cluster_key").agg(*(F.sum(F.col("v")[i].cast("double")).alias(f"s{i}") for i in range(width)))
     centre = sums.select("cluster_key", F.array(*(F.col(f"s{i}") for i in range(width))).alias("c"))
     near = salted_join(joined, centre, "cluster_key", heavy=heavy_keys(joined, "cluster_key"))

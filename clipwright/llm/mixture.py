@@ -110,7 +110,8 @@ def mix_sources(
     scratch = Scratch(spark, "mixture")
     rows = df.select(F.col(record).alias("record"), F.col(text).alias("t"), source.alias("source"), F.coalesce(language, F.lit("other")).alias("language"))
     rows = rows.filter(F.col("source").isin(list(targets)) & F.col("t").isNotNull() & F.col("record").isNotNull())
-    sized = scratch.keep(token_counts(rows, "t", "tokens", vocabulary=vocabulary).filter("tokens > 0").select("record", "source", "language", "tokens"))
+    # written before the filter, which would otherwise run the encoder once more
+    sized = scratch.keep(token_counts(rows, "t", "tokens", vocabulary=vocabulary).select("record", "source", "language", "tokens")).filter("tokens > 0")
     leaves = sized.groupBy("source", "language").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).collect()
     root = Node(1.0, children={s: Node(w) for s, (w, _) in targets.items()})
     for r in leaves:

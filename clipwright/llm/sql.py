@@ -16,7 +16,7 @@ _CAPPED = """
 WITH latest AS (SELECT * FROM clips_split QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC NULLS LAST, row_id DESC) = 1),
 cap AS (SELECT floor(count(*) * 0.02 + 1e-9) AS c FROM latest),
 placed AS (
-    SELECT *, row_number() OVER (PARTITION BY speaker_idx ORDER BY (quality_score IS NULL OR isnan(quality_score)), quality_score DESC, source_id) AS p
+    SELECT *, row_number() OVER (PARTITION BY speaker_idx ORDER BY (quality_score IS NULL OR quality_score::VARCHAR = 'nan'), quality_score DESC, source_id) AS p
     FROM latest WHERE speaker_idx IS NOT NULL AND speaker_idx <> -1
 )
 """
