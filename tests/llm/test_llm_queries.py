@@ -42,7 +42,7 @@ def test_overlaps_equal_all_pairs(spark):
 
 def test_report_adds_up(spark):
     rep = queries.p5_report(spark, DATA).collect()
-    assert sum(r["rows"] for r in rep) == duckdb.sql(f"SELECT count(*) FROM '{DATA}/clips_split.parquet' WHERE split IN ('validation', 'test')").fetchone()[0]
+    assert sum(r["rows"] for r in rep) == duckdb.sql(f"SELECT count(*) FROM '{DATA}/clips_split.parquet' WHERE split IN ('validation', 'test')").fetchall()[0][0]
     assert all(r["overlapping"] <= r["rows"] and r["overlapping"] >= max(r["same_id"], r["same_text"], r["near_text"]) for r in rep)
 
 
