@@ -147,7 +147,8 @@ def mic_pops(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audio_clean(spark: SparkSession, d: str) -> DataFrame:
-    return clean_audio(_signals(spark, d), "samples", "rate").select("row_id", "speech_ratio", "duration", "drop_reason")
+    clips = table(spark, d, "clip_voice").select("row_id", F.flatten(F.array_repeat("embedding", 100)).alias("samples"), F.lit(8000).alias("rate"))
+    return clean_audio(clips, "samples", "rate").select("row_id", "speech_ratio", "duration", "drop_reason")
 
 
 def audio_drops(spark: SparkSession, d: str) -> DataFrame:
