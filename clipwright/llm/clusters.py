@@ -1,8 +1,8 @@
 """Clusters of mutually similar records, each described by its size and its most typical members.
 
 Records are vectors (given embeddings, or texts hashed to weighted features). Distributed k-means with parallel
-oversampled seeding puts each vector into the cell of its nearest centroid; a vector near a border is a guest of the other cells too. Inside
-cells vectors with a cosine of at least the threshold are linked, and connected components of the links are the
+oversampled seeding puts each vector into the cell of its nearest centroid; a vector is a guest of the other cells too, as far as bounds
+on distances can't rule out that it has an alike vector there, so that each alike pair shares a cell. Inside cells vectors with a cosine of at least the threshold are linked, and connected components of the links are the
 clusters. A cell mostly filled by one group is cut into blocks: rows alike to a pivot of that group are linked to the
 pivot only, and the rest of the cell meets each block.
 """
@@ -29,6 +29,8 @@ MAX_CELLS = 4096
 PIVOTS = 24
 BLOCK = 8192
 SEED_SHARE = 0.5
+CORE = 0.75
+SLACK = 1e-5
 
 
 def hashed_features(df: DataFrame, text: str, into: str = "embedding", *, dims: int = 256) -> DataFrame:
@@ -75,18 +77,29 @@ def _stack(s: pd.Series) -> np.ndarray:
     return np.stack(s.to_numpy()).astype(np.float32) if len(s) else np.zeros((0, 1), np.float32)
 
 
-def cells_for(x: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The nearest centroid of each row and the other ones whose border is within ``reach``."""
+def cells_for(x: np.ndarray, c: np.ndarray, least: float, reach: float = 0.0) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The nearest centroid of each row and the other ones whose cells it is a guest of, such that of two rows with a cosine of at least ``least`` one is in the other's home.
+
+    The way between two such rows is at most ``sqrt(2 - 2 * least)`` long and crosses the border of their homes, so one of them is within half of that
+    (or a larger ``reach``) of the border. Rows within ``CORE`` of the angle of ``least`` from their centroid are the core of their cell, and only rows within
+    the sum of both angles from a centroid have alike rows in its core. Core rows are guests where they are near the border and can meet
+    the core; others where they can meet the core, which then needn't come to them, or are near the border. Rows and centroids are of length one.
+    """
     home, guests = np.empty(len(x), np.int64), []
-    gram = c @ c.T
+    angle = math.acos(max(-1.0, least - SLACK))
+    core, meet = math.cos(CORE * angle), math.cos(min(math.pi, (1 + CORE) * angle)) - SLACK
+    reach = max(reach, math.sqrt((1 - least + SLACK) / 2))
+    wide = c.astype(np.float64)
+    square = (wide * wide).sum(1)
+    apart = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * wide @ wide.T, 0))
     for lo in range(0, len(x), 4096):
         part = x[lo : lo + 4096] @ c.T
         h = part.argmax(1)
         home[lo : lo + 4096] = h
         best = part[np.arange(len(h)), h][:, None]
         # distance to the border with each other centroid
-        apart = np.sqrt(np.maximum(2 - 2 * gram[h], 1e-12))
-        near = (best - part) <= reach * apart
+        near = (best - part) <= reach * apart[h] + SLACK
+        near = np.where(best >= core, near & (part >= meet), near | (part >= meet))
         near[np.arange(len(h)), h] = False
         guests += [np.flatnonzero(r) for r in near]
     return home, guests
@@ -124,8 +137,8 @@ def spanning_links(x: np.ndarray, guest: np.ndarray | None, least: float) -> lis
     return out
 
 
-def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch: Scratch, *, reach: float, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between records whose components are those of all pairs that share a cell and have a cosine of at least ``least``.
+def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch: Scratch, *, reach: float = 0.0, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between records whose components are those of all pairs with a cosine of at least ``least`` (see ``cells_for``).
 
     Broadcast are the centroids (at most ``MAX_CELLS``) and ``PIVOTS`` vectors a cell.
     """
@@ -136,7 +149,7 @@ def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch
         for pdf in batches:
             if not len(pdf):
                 continue
-            home, guests = cells_for(_stack(pdf["v"]), shared.value, reach)
+            home, guests = cells_for(_stack(pdf["v"]), shared.value, least, reach)
             yield pd.DataFrame({"record": pdf["record"], "v": pdf["v"], "home": home.astype(np.int32), "guests": [g.astype(np.int32) for g in guests]})
 
     placed = scratch.keep(vectors.mapInPandas(place, "record string, v array<float>, home int, guests array<int>"))
@@ -205,13 +218,12 @@ def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch
 
 
 def similarity_clusters(
-    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, reach: float = 0.12, seed: int = 7
+    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, seed: int = 7
 ) -> DataFrame:
     """(record, cluster_key): each usable record and the smallest record of its cluster, singles included.
 
-    ``cells`` defaults to the square root of the number of different vectors, at most ``MAX_CELLS``. ``reach`` is how near to a cell's
-    border (as a distance) a vector becomes its guest; two alike vectors on both sides of a border farther than that from it may go unlinked, which
-    tests measure against all pairs. Rows of one record are one node, whatever their vectors. Equal vectors are compared once. Unusable rows
+    ``cells`` defaults to the square root of the number of different vectors, at most ``MAX_CELLS``; they decide about
+    the work only, as each two alike vectors meet in a cell. Rows of one record are one node, whatever their vectors. Equal vectors are compared once. Unusable rows
     (see ``usable_vectors``) are left out; an empty table gives no rows.
     """
     scratch = Scratch(df.sparkSession, "clusters")
@@ -225,7 +237,7 @@ def similarity_clusters(
         # one record may have several vectors, so vectors go by record and number
         named = distinct.select(F.concat_ws("\1", F.hex("h"), "record").alias("record"), "v")
         centroids = fit_centroids(named, k, seed=seed) if k > 1 else np.asarray([named.first()["v"]], dtype=np.float32)
-        links = alike_links(named, centroids, least, scratch, reach=reach)
+        links = alike_links(named, centroids, least, scratch)
         bare = lambda c: F.substring_index(c, "\1", -1)
         edges = same.unionByName(links.select(bare(F.col("a")).alias("a"), bare(F.col("b")).alias("b")))
     else:

@@ -195,6 +195,30 @@ def test_blocks_give_the_same_links(spark):
         assert {k: roots.get(k, k) for k in want} == want
 
 
+def test_alike_pairs_meet_in_a_cell():
+    rng = np.random.default_rng(8)
+    unit = lambda a: (a / np.linalg.norm(a, axis=1, keepdims=True)).astype(np.float32)
+    for dims, spread in ((3, 0.5), (8, 0.25), (8, 1.0), (32, 0.1)):
+        x = unit(np.repeat(rng.normal(size=(60, dims)) / np.sqrt(dims), 20, axis=0) + rng.normal(0, spread / np.sqrt(dims), (1200, dims)))
+        c = unit(np.concatenate([x[rng.choice(len(x), 24, replace=False)], rng.normal(size=(4, dims))]))
+        for least in (0.5, 0.8, 0.95):
+            home, guests = clusters.cells_for(x, c, least)
+            inside = np.zeros((len(x), len(c)), bool)
+            inside[np.arange(len(x)), home] = True
+            for i, g in enumerate(guests):
+                inside[i, g] = True
+            a, b = np.nonzero(np.triu(x @ x.T >= least, 1))
+            assert len(a) and (inside[a, home[b]] | inside[b, home[a]]).all()
+
+
+def test_links_far_from_a_border(spark):
+    """Two groups a right angle apart, and a chain between them whose middle link crosses the border with both ends 0.3 away from it."""
+    angles = [*np.linspace(0, 2, 30), 27.0, 63.0, *np.linspace(88, 90, 30)]
+    rows = [(f"c{i:02d}", [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))]) for i, a in enumerate(angles)]
+    got = clusters.similarity_clusters(spark.createDataFrame(rows, "source_id string, embedding array<float>"), record="source_id", vector="embedding", dims=2, cells=2).collect()
+    assert {r["record"]: r["cluster_key"] for r in got} == dict.fromkeys((r for r, _ in rows), "c00")
+
+
 def test_cluster_edges(spark):
     empty = spark.createDataFrame([], "source_id string, embedding array<float>")
     assert clusters.similarity_clusters(empty, record="source_id", vector="embedding").count() == 0
