@@ -13,6 +13,7 @@ from clipwright.llm.lookalike import canonical_text, lookalike_pairs
 from clipwright.llm.mixture import Mixture, language_key, mix_sources, source_key
 from clipwright.llm.overlap import Rule, cross_overlaps, record_pairs
 from clipwright.llm.related import entity_components, index_key, name_key, related_splits
+from clipwright.operators.skew import heavy_keys, salted_join
 
 PROPORTIONS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
@@ -73,7 +74,7 @@ def _sided(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training row a and evaluation row b with the same or almost the same transcription."""
+    """A training row and an evaluation row with the same or almost the same transcription, the smaller row_id first."""
     members, pairs = cross_overlaps(_sided(spark, sf_dir), NEAR, record="row_id", text="transcription", side="side")
     return record_pairs(members, pairs).select("row_id_a", "row_id_b")
 
@@ -83,7 +84,8 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     clips = _sided(spark, sf_dir)
     members, pairs = cross_overlaps(clips, NEAR, record="row_id", text="transcription", side="side")
     kinds = pairs.groupBy(F.col("b").alias("id")).agg(F.max(F.col("exact").cast("int")).alias("same_text"), F.max((~F.col("exact")).cast("int")).alias("near_text"))
-    texts = members.filter("side = 1").join(kinds, "id").select(F.col("record").alias("row_id"), "same_text", "near_text")
+    held = members.filter("side = 1")
+    texts = salted_join(held, kinds, "id", heavy=heavy_keys(held, "id")).select(F.col("record").alias("row_id"), "same_text", "near_text").distinct()
     ids = clips.filter("side = 0 and source_id is not null").select("source_id").distinct().withColumn("same_id", F.lit(1))
     rows = clips.filter("side = 1").select("row_id", "source_id", "split", name_key("source_speaker_id").alias("source")).join(ids, "source_id", "left").join(texts, "row_id", "left")
     hit = lambda *c: F.sum(F.greatest(*(F.coalesce(F.col(x), F.lit(0)) for x in c), F.lit(0))).alias("_".join(c) if len(c) == 1 else "overlapping")

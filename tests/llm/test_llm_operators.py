@@ -151,16 +151,38 @@ def test_sketch_misses_nothing(spark):
     for rule in (overlap.Rule(2, None, 8), overlap.Rule(2, 0.8), overlap.Rule(5, 0.8)):
         members, pairs = overlap.cross_overlaps(df, rule, record="r", text="t", side="side")
         got = {(r["row_id_a"], r["row_id_b"]) for r in overlap.record_pairs(members, pairs).collect()}
-        want = {(a, b) for a, t, s in rows for b, u, z in rows if s == 0 and z == 1 and t and u and (t == u or rule.near(t, u))}
+        want = {(min(a, b), max(a, b)) for a, t, s in rows for b, u, z in rows if s == 0 and z == 1 and t and u and (t == u or rule.near(t, u))}
         assert got == want and want
 
 
+def test_bands_alone_find_most(spark):
+    rng = random.Random(7)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(24)] for _ in range(300)]
+    rows = [(i, " ".join(w), 0) for i, w in enumerate(base)] + [(1000 + i, " ".join([*w[:11], "other", *w[12:]]), 1) for i, w in enumerate(base)]
+    df = spark.createDataFrame(rows, "r long, t string, side int")
+    found = {}
+    for complete in (False, True):
+        members, pairs = overlap.cross_overlaps(df, overlap.Rule(2, None, 8), record="r", text="t", side="side", complete=complete)
+        found[complete] = {(r["row_id_a"], r["row_id_b"]): r["jaccard"] for r in overlap.record_pairs(members, pairs).collect()}
+    assert found[True] == {(i, 1000 + i): 21 / 25 for i in range(300)}
+    assert found[False].items() <= found[True].items() and len(found[False]) > 0.9 * 300
+
+
 def test_overlap_edges(spark):
     df = spark.createDataFrame([(i, t, i % 2) for i, t in EDGE_TEXTS] + [(8, "Same, WÓRDS here!", 1), (9, "same words here", None), (10, "!!", 0), (11, "??", 1)], "r long, t string, side int")
     members, pairs = overlap.cross_overlaps(df, overlap.Rule(2, None, 8), record="r", text="t", side="side")
     assert {(r["row_id_a"], r["row_id_b"]) for r in overlap.record_pairs(members, pairs).collect()} == {(4, 8)}
     members, pairs = overlap.cross_overlaps(df.limit(0), overlap.Rule(), record="r", text="t", side="side")
-    assert pairs.count() == 0
+    assert pairs.count() == 0 and members.count() == 0
+
+
+def test_very_long_near_texts(spark):
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(9000)}" for _ in range(30_000)]
+    other = ["first", *words[:20_000], "more", *words[20_001:-1], "last"]
+    df = spark.createDataFrame([(1, " ".join(words), 0), (0, " ".join(other), 1), (1, " ".join(words), 0)], "r long, t string, side int")
+    members, pairs = overlap.cross_overlaps(df, overlap.Rule(2, None, 8), record="r", text="t", side="side")
+    assert [(r["row_id_a"], r["row_id_b"], r["exact"]) for r in overlap.record_pairs(members, pairs).collect()] == [(0, 1, False)]
 
 
 # 6: clusters
