@@ -263,15 +263,15 @@ def near_pairs(classes: DataFrame, rows: DataFrame, rule: Rule, scratch: Scratch
     ``complete`` only the bands give candidates.
     """
     buckets = F.concat("bands", "keys") if complete else F.col("bands")
-    entries = classes.select("h", "n", "on0", "on1", F.explode(buckets).alias("bucket"))
-    a = entries.filter("on0").select("bucket", F.col("h").alias("a"), F.col("n").alias("na"))
-    b = entries.filter("on1").select("bucket", F.col("h").alias("b"), F.col("n").alias("nb"))
+    entries = classes.select("id", "n", "on0", "on1", F.explode(buckets).alias("bucket"))
+    a = entries.filter("on0").select("bucket", F.col("id").alias("a"), F.col("n").alias("na"))
+    b = entries.filter("on1").select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"))
     longer = F.greatest("na", "nb")
     close = F.abs(F.col("na") - F.col("nb")) <= (F.floor(longer / rule.edits_part) if rule.edits_part else F.floor(longer * (1 - rule.jaccard)) + rule.width)
     met = salted_join(a, b, "bucket", heavy=heavy_keys(entries.select("bucket"), "bucket", BUCKET_SHARE))
     candidates = scratch.keep(met.filter((F.col("a") != F.col("b")) & close).select("a", "b").distinct())
-    ids = candidates.select(F.col("a").alias("h")).unionByName(candidates.select(F.col("b").alias("h"))).distinct()
-    wanted = classes.select("h", F.col("rep").alias("record")).join(ids, "h", "left_semi")
+    ids = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
+    wanted = classes.select("id", "h", F.col("rep").alias("record")).join(ids, "id", "left_semi")
     fetched = rows.select("record", "t").join(wanted, "record")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,12 +279,13 @@ def near_pairs(classes: DataFrame, rows: DataFrame, rule: Rule, scratch: Scratch
         for pdf in batches:
             words = [words_of(t) for t in pdf["t"]]
             keep = [digest(w) == bytes(h) for w, h in zip(words, pdf["h"], strict=True)]
-            yield pd.DataFrame({"h": pdf["h"][keep], "words": [" ".join(w) for w, k in zip(words, keep, strict=True) if k]})
+            yield pd.DataFrame({"id": pdf["id"][keep], "h": pdf["h"][keep], "words": [" ".join(w) for w, k in zip(words, keep, strict=True) if k]})
 
-    texts = scratch.keep(fetched.select("h", "t").mapInPandas(read, "h binary, words string").groupBy("h").agg(F.any_value("words").alias("words")))
+    read_texts = fetched.select("id", "h", "t").mapInPandas(read, "id long, h binary, words string")
+    texts = scratch.keep(read_texts.groupBy("id").agg(F.any_value("h").alias("h"), F.any_value("words").alias("words")))
     # a text with very many candidates is no hot spot: its pairs are spread
-    with_a = salted_join(candidates, texts.select(F.col("h").alias("a"), F.col("words").alias("wa")), "a", heavy=heavy_keys(candidates, "a"))
-    full = salted_join(with_a, texts.select(F.col("h").alias("b"), F.col("words").alias("wb")), "b", heavy=heavy_keys(candidates, "b"))
+    with_a = salted_join(candidates, texts.select(F.col("id").alias("a"), F.col("h").alias("ha"), F.col("words").alias("wa")), "a", heavy=heavy_keys(candidates, "a"))
+    full = salted_join(with_a, texts.select(F.col("id").alias("b"), F.col("h").alias("hb"), F.col("words").alias("wb")), "b", heavy=heavy_keys(candidates, "b"))
 
     def check(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         known = _WordHash()
@@ -298,7 +299,7 @@ def near_pairs(classes: DataFrame, rows: DataFrame, rule: Rule, scratch: Scratch
             yield pd.DataFrame(out, columns=["jaccard", "near"])
 
     # declared so that the filter on its result doesn't make Spark run it twice
-    judged = full.select("a", "b", F.pandas_udf(check, "jaccard double, near boolean").asNondeterministic()("wa", "wb").alias("c"))  # type: ignore[call-overload]
+    judged = full.select(F.col("ha").alias("a"), F.col("hb").alias("b"), F.pandas_udf(check, "jaccard double, near boolean").asNondeterministic()("wa", "wb").alias("c"))  # type: ignore[call-overload]
     return scratch.keep(judged.filter("c.near").select("a", "b", "c.jaccard"))
 
 
@@ -317,7 +318,8 @@ def cross_overlaps(df: DataFrame, rule: Rule, *, record: str, text: str, side: s
     found = rows.groupBy("h").agg(
         F.min("record").alias("rep"), F.max(F.col("side") == 0).alias("on0"), F.max(F.col("side") == 1).alias("on1"), F.max("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("keys").alias("keys")
     )
-    classes = scratch.keep(found)
+    # short numbers stand for digests in the buckets; the written table fixes them
+    classes = scratch.keep(found.withColumn("id", F.monotonically_increasing_id()))
     members = rows.select("record", "side", F.col("h").alias("id"))
     same = classes.filter("on0 and on1").select(F.col("h").alias("a"), F.col("h").alias("b"), F.lit(True).alias("exact"), F.lit(1.0).alias("jaccard"))
     near = near_pairs(classes, slim, rule, scratch, complete=complete).select("a", "b", F.lit(False).alias("exact"), "jaccard")
