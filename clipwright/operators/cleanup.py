@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.operators.metadata import add_clip_count
-from clipwright.operators.skew import heavy_keys, salted_aggregate, salted_join
+from clipwright.operators.skew import heavy_keys, key_profile, salted_aggregate, salted_join
 
 MIN_SECONDS = 3.0
 
@@ -22,19 +21,26 @@ def drop_short(df: DataFrame, duration: str = "duration", least: float = MIN_SEC
     return df.filter(~is_short(F.col(duration), least))
 
 
+def _counts(df: DataFrame, speaker: str, into: str) -> DataFrame:
+    """(speaker, rows) of speakers with more than one row. Counts are combined before the shuffle, so they need no salt; a join back does."""
+    return df.filter(F.col(speaker).isNotNull()).groupBy(speaker).agg(F.count(F.lit(1)).alias(into)).filter(F.col(into) > 1)
+
+
 def drop_singletons(df: DataFrame, speaker: str = "source_speaker_id") -> DataFrame:
     """Rows of speakers with more than one row; null speakers fall out."""
-    heavy = heavy_keys(df, speaker)
-    counts = salted_aggregate(df.filter(F.col(speaker).isNotNull()), speaker, {"_rows": ("rows", None)}, heavy=heavy)
-    return salted_join(df, counts.filter("_rows <> 1").select(speaker), speaker, heavy=heavy, how="left_semi")
+    return salted_join(df, _counts(df, speaker, "_rows").select(speaker), speaker, heavy=heavy_keys(df, speaker), how="left_semi")
+
 
+def cleanup(df: DataFrame, speaker: str = "source_speaker_id", duration: str = "duration", least: float = MIN_SECONDS, count: str = "speaker_clip_count") -> DataFrame:
+    """Short clips, then singleton speakers out; clip counts made anew. Raises if a row that is left has no speaker.
 
-def cleanup(df: DataFrame, speaker: str = "source_speaker_id", duration: str = "duration", least: float = MIN_SECONDS) -> DataFrame:
-    """Short clips, then singleton speakers out; clip counts made anew. Raises if a row that is left has no speaker."""
-    left = drop_short(df, duration, least)
-    if not left.filter(F.col(speaker).isNull()).isEmpty():
+    One pass looks for rows without a speaker and for heavy speakers; one aggregate gives the counts by which singletons go and which the others get.
+    """
+    left = drop_short(df, duration, least).drop(count)
+    _, nameless, heavy = key_profile(left, speaker)
+    if nameless:
         raise ValueError("a clip has no speaker")
-    return add_clip_count(drop_singletons(left, speaker), speaker)
+    return salted_join(left, _counts(left, speaker, count), speaker, heavy=heavy)
 
 
 def cleanup_audit(df: DataFrame, speaker: str, duration: str, least: float = MIN_SECONDS) -> DataFrame:

@@ -47,10 +47,9 @@ def add_speaker_index(df: DataFrame, speaker: str = "source_speaker_id") -> Data
 
 
 def add_clip_count(df: DataFrame, speaker: str = "source_speaker_id", into: str = "speaker_clip_count") -> DataFrame:
-    """Each row with the number of rows of its speaker. Counts are made per speaker and joined back under salts, so no task gets all rows of a speaker."""
-    heavy = heavy_keys(df, speaker)
-    counts = salted_aggregate(df.filter(F.col(speaker).isNotNull()), speaker, {into: ("rows", None)}, heavy=heavy)
-    return salted_join(df.drop(into), counts, speaker, heavy=heavy, how="left")
+    """Each row with the number of rows of its speaker. Counts are combined before the shuffle and joined back under salts, so no task gets all rows of a speaker."""
+    counts = df.filter(F.col(speaker).isNotNull()).groupBy(speaker).agg(F.count(F.lit(1)).alias(into))
+    return salted_join(df.drop(into), counts, speaker, heavy=heavy_keys(df, speaker), how="left")
 
 
 def value_counts(df: DataFrame, column: str, *, nulls: bool = False) -> DataFrame:

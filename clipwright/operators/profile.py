@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipwright.operators.skew import salted_aggregate
+from clipwright.storage import Scratch
 
 # Inclusive clip-count buckets; the last is open
 BUCKETS = ((1, 9), (10, 24), (25, 49), (50, 99), (100, 199), (200, 499), (500, None))
@@ -95,13 +96,29 @@ def metric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact interpolated medians of the whole table, from counts of different values, so that no task needs all rows."""
-    parts = None
-    for c in columns:
-        counts = df.select(F.col(c).cast("double").alias("v")).filter("v is not null and not isnan(v)").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        one = counts.agg(F.expr("percentile(v, 0.5, n)").alias("median")).select(F.lit(c).alias("metric"), "median")
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    """Exact interpolated medians of the whole table; null for metrics without values. NaN counts as missing.
+
+    All metrics' values are counted in long form, and the (metric, value) counts cut into sorted ranges. Each range's total tells in which one a median's
+    two middle rows lie, so only numbers for each range meet, and no task gets all values of a metric, however continuous it is.
+    """
+    scratch = Scratch(df.sparkSession, "medians")
+    long = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns))))
+    counts = long.filter("v is not null and not isnan(v)").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("n"))
+    kept = scratch.keep(counts.repartitionByRange("metric", "v").withColumn("part", F.spark_partition_id()))
+    sizes = kept.groupBy("metric", "part").agg(F.sum("n").alias("n")).collect()  # a row for each range and metric
+    total: dict[str, int] = {}
+    starts = []
+    for r in sorted(sizes, key=lambda r: (r["metric"], r["part"])):
+        starts.append((r["metric"], r["part"], total.get(r["metric"], 0), r["n"]))
+        total[r["metric"]] = total.get(r["metric"], 0) + r["n"]
+    # 0-based places of the two middle rows; one range holds each
+    middle = [(m, p, before, at) for m, p, before, n in starts for at in {(total[m] - 1) // 2, total[m] // 2} if before <= at < before + n]
+    wanted = df.sparkSession.createDataFrame(middle, "metric string, part int, before long, at long")
+    upto = F.sum("n").over(Window.partitionBy("metric", "part", "at").orderBy("v"))
+    placed = kept.join(F.broadcast(wanted), ["metric", "part"]).withColumn("end", F.col("before") + upto)
+    two = placed.filter((F.col("at") < F.col("end")) & (F.col("at") >= F.col("end") - F.col("n"))).groupBy("metric").agg(F.avg("v").alias("median"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
+    return names.join(F.broadcast(two), "metric", "left")
 
 
 def duration_buckets(df: DataFrame, duration: str, edges: Sequence[float] = DURATIONS) -> DataFrame:

@@ -47,6 +47,13 @@ def cast_to(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return require_columns(df, list(types)).select(*(F.col(c).cast(t).alias(c) for c, t in types.items()))
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Float and double columns with null for NaN; other columns as they are."""
+    kinds = dict(df.dtypes)
+    clean = {c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(kinds[c])) for c in df.columns if kinds[c] in ("float", "double")}
+    return df.select(*((clean[c].alias(c)) if c in clean else F.col(f"`{c}`") for c in df.columns))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Raises if there is no row; reads at most one."""
     if df.isEmpty():

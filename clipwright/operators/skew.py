@@ -21,11 +21,11 @@ SALTS = 32
 MERGEABLE = ("count", "rows", "sum", "min", "max", "avg", "count_distinct")
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = SHARE) -> list:
-    """Non-null keys that hold more than ``share`` of all rows: at most ``1 / share`` values. Empty input: none.
+def key_profile(df: DataFrame, key: str, share: float = SHARE) -> tuple[int, int, list]:
+    """(rows, rows with a null key, heavy keys) in one pass without a shuffle of keys: tasks keep sketches of their frequent items, which are merged.
 
-    One pass without a shuffle of keys: tasks keep sketches of their frequent items, which are merged. A sketch holds 20 times as many items as can
-    be above the share, so none of these is missed; a key slightly below the share may come out too in tables of more different keys than that.
+    Heavy keys are the non-null ones that hold more than ``share`` of all rows: at most ``1 / share`` values. A sketch holds 20 times as many items
+    as can be above the share, so none of these is missed; in tables of more different keys than that, a key slightly below the share may come out too.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be above 0 and at most 1")
@@ -33,9 +33,14 @@ def heavy_keys(df: DataFrame, key: str, share: float = SHARE) -> list:
     binary = isinstance(df.schema[key].dataType, BinaryType)
     k = f"hex(`{key}`)" if binary else f"`{key}`"
     top = F.expr(f"approx_top_k({k}, {most + 1}, {min(1_000_000, 20 * most + 100)})")  # nulls may be one of the items
-    r = df.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("named"), top.alias("top")).first()
     found = [x["item"] for x in r["top"] or () if x["item"] is not None and x["count"] > r["n"] * share]
-    return [bytes.fromhex(x) for x in found] if binary else found
+    return r["n"], r["n"] - r["named"], [bytes.fromhex(x) for x in found] if binary else found
+
+
+def heavy_keys(df: DataFrame, key: str, share: float = SHARE) -> list:
+    """Non-null keys that hold more than ``share`` of all rows (see ``key_profile``). Empty input: none."""
+    return key_profile(df, key, share)[2]
 
 
 def _is_heavy(key: Column, heavy: list) -> Column:

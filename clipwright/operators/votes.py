@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.operators.metadata import dense_numbers
 from clipwright.operators.skew import salted_aggregate
 
 GENDERS = ("Female", "Male", "Unknown")
@@ -67,8 +68,7 @@ def renumber_clusters(df: DataFrame, partition: str, label: str, order: tuple[st
     """(partition, label, size, cluster_id): ids from 0 on, partitions in ``order``, then by size, larger first, then by label. Noise (-1) gets no id."""
     sizes = df.filter(F.col(label).isNotNull() & (F.col(label) != -1) & F.col(partition).isin(*order)).groupBy(partition, label).agg(F.count(F.lit(1)).alias("size"))
     place = F.array_position(F.array(*(F.lit(x) for x in order)), F.col(partition))
-    # a row for each cluster, far fewer than clips
-    return sizes.withColumn("cluster_id", F.row_number().over(Window.orderBy(place, F.desc("size"), label)) - 1)
+    return dense_numbers(sizes.withColumn("_place", place), [F.asc("_place"), F.desc("size"), F.asc(label)], "cluster_id").drop("_place")
 
 
 def vote_string(df: DataFrame, cluster: str, gender: str) -> DataFrame:

@@ -9,7 +9,7 @@ from clipwright.functions.text import character_counts, has_punctuation, length_
 from clipwright.operators.cleanup import cleanup, cleanup_audit, deny, drop_noise, failed_rules
 from clipwright.operators.lookups import last_of, lookup, not_done, only_in, path_keys, relabel
 from clipwright.operators.metadata import add_clip_count, before_after_counts, normalize_metadata, speaker_index, union_splits, value_counts
-from clipwright.operators.schema import ANNOTATED, cast_to, rename_source, rows_between
+from clipwright.operators.schema import ANNOTATED, cast_to, nan_to_null, rename_source, rows_between
 from clipwright.plans.tables import table
 
 DENIED = ["spk_004321eb", "rec.862eec62.m"]
@@ -55,18 +55,19 @@ def top_speaker_semi(spark: SparkSession, d: str) -> DataFrame:
 
 
 def relabel_join(spark: SparkSession, d: str) -> DataFrame:
-    """Published clips with their voice's cluster, cast for the annotated release."""
+    """Published clips with their voice's cluster, cast for the annotated release; NaN comes out as null."""
     clips = table(spark, d, "clips_split")
     voices = last_of(drop_noise(table(spark, d, "clip_voice").select("source_id", "cluster_id", "cluster_confidence", "gender_predicted", "loaded_at", "row_id")), "source_id", ["loaded_at", "row_id"])
     joined = relabel(clips.drop("gender", "row_id", "loaded_at"), voices.drop("row_id", "loaded_at"))
     named = joined.withColumnsRenamed({"cluster_id": "speaker_id", "gender_predicted": "gender", "cluster_confidence": "speaker_assignment_confidence"})
-    return cast_to(named, ANNOTATED)
+    return nan_to_null(cast_to(named, ANNOTATED))
 
 
 def default_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Voices with the score and gender of their clip's last delivery, 0 and "" where there is none."""
+    """Voices with the score and gender of their clip's last delivery, 0 and "" where there is none; a NaN counts as none."""
     voices = table(spark, d, "clip_voice").select("row_id", "source_id")
-    return lookup(voices, table(spark, d, "clips_split"), "source_id", {"quality_score": 0.0, "snr_db": 0.0, "gender": ""}, ["loaded_at", "row_id"])
+    clips = nan_to_null(table(spark, d, "clips_split").select("source_id", "quality_score", "snr_db", "gender", "loaded_at", "row_id"))
+    return lookup(voices, clips, "source_id", {"quality_score": 0.0, "snr_db": 0.0, "gender": ""}, ["loaded_at", "row_id"])
 
 
 def source_rename(spark: SparkSession, d: str) -> DataFrame:
@@ -193,6 +194,13 @@ def _norm(c: str) -> str:
     return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
 
 
+
+
+def _num(c: str, kind: str = "DOUBLE") -> str:
+    """A number with NaN as null. NaN is told by its text, as DuckDB folds isnan() by footer statistics, which leave NaN out."""
+    return f"CASE WHEN {c}::VARCHAR <> 'nan' THEN {c} END::{kind}"
+
+
 _SHORT = "coalesce(duration < 3.0, false)"
 _GENDER = f"upper(substr({_strip('gender')}, 1, 1)) || lower(substr({_strip('gender')}, 2))"
 _VC = "SELECT {0} AS value, count(*) AS n FROM clips_annotated {1} GROUP BY 1"
@@ -211,12 +219,12 @@ SQL = {
     "cache_miss_anti": "SELECT row_id, source_id FROM clips_split c WHERE NOT EXISTS (SELECT 1 FROM clip_voice v WHERE v.source_id = c.source_id AND v.embedding IS NOT NULL)",
     "top_speaker_semi": """SELECT row_id, source_speaker_id FROM clips_annotated WHERE source_speaker_id IN (
         SELECT source_speaker_id FROM clips_annotated WHERE source_speaker_id IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, source_speaker_id LIMIT 20)""",
-    "relabel_join": """WITH v AS (SELECT * FROM clip_voice WHERE cluster_id IS DISTINCT FROM -1 QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC, row_id DESC) = 1)
-        SELECT c.transcription, c.source_id, v.cluster_id::INT AS speaker_id, c.speaker_clip_count::INT AS speaker_clip_count, c.language, v.gender_predicted AS gender, c.has_punctuation, c.snr_db::FLOAT AS snr_db,
-        c.speech_ratio::FLOAT AS speech_ratio, c.quality_score::FLOAT AS quality_score, c.duration::FLOAT AS duration, v.cluster_confidence::FLOAT AS speaker_assignment_confidence
+    "relabel_join": f"""WITH v AS (SELECT * FROM clip_voice WHERE cluster_id IS DISTINCT FROM -1 QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC, row_id DESC) = 1)
+        SELECT c.transcription, c.source_id, v.cluster_id::INT AS speaker_id, c.speaker_clip_count::INT AS speaker_clip_count, c.language, v.gender_predicted AS gender, c.has_punctuation, {_num('c.snr_db', 'FLOAT')} AS snr_db,
+        {_num('c.speech_ratio', 'FLOAT')} AS speech_ratio, {_num('c.quality_score', 'FLOAT')} AS quality_score, {_num('c.duration', 'FLOAT')} AS duration, {_num('v.cluster_confidence', 'FLOAT')} AS speaker_assignment_confidence
         FROM clips_split c JOIN v USING (source_id)""",
-    "default_lookup": """WITH c AS (SELECT * FROM clips_split QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC, row_id DESC) = 1)
-        SELECT v.source_id, v.row_id, coalesce(c.quality_score, 0.0) AS quality_score, coalesce(c.snr_db, 0.0) AS snr_db, coalesce(c.gender, '') AS gender FROM clip_voice v LEFT JOIN c USING (source_id)""",
+    "default_lookup": f"""WITH c AS (SELECT * FROM clips_split QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC, row_id DESC) = 1)
+        SELECT v.source_id, v.row_id, coalesce({_num('c.quality_score')}, 0.0) AS quality_score, coalesce({_num('c.snr_db')}, 0.0) AS snr_db, coalesce(c.gender, '') AS gender FROM clip_voice v LEFT JOIN c USING (source_id)""",
     "source_rename": "SELECT row_id, source_id, source_speaker_id FROM clips_annotated",
     "row_slice": "SELECT row_id, source_id FROM clips_annotated WHERE row_id >= 100 AND row_id < 200",
     "path_parts": """SELECT row_id, f AS source_speaker_id, split_part(f, '_', 1) || '_' || substr(substr(f, 4), 1, 8) AS folder_prefix, regexp_replace(s, '^sna_', '') AS source_id,
