@@ -50,7 +50,7 @@ class Scratch:
         path = f"{self.root}/{self.n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.paths[self.n] = path
         out._cw_path = path  # type: ignore[attr-defined]
         return out
 
@@ -58,3 +58,11 @@ class Scratch:
         for df in dfs:
             if path := getattr(df, "_cw_path", None):
                 drop_path(self.spark, path)
+                self.paths = {k: p for k, p in self.paths.items() if p != path}
+
+    def free_all(self, *but: DataFrame) -> None:
+        """Delete all tables but the given ones, once nothing reads the others any more."""
+        kept = {getattr(df, "_cw_path", None) for df in but}
+        for path in set(self.paths.values()) - kept:
+            drop_path(self.spark, path)
+        self.paths = {k: p for k, p in self.paths.items() if p in kept}
