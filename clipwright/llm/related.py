@@ -19,7 +19,7 @@ from clipwright.storage import Scratch
 # characters that str.strip() removes in Python
 BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NOBODY = ("", "unknown")
-STEPS = 10_000
+STEPS = 200
 
 
 def name_key(c: str | Column, nobody: Sequence[str] = NOBODY) -> Column:
@@ -38,24 +38,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", *, scratch: Scratch
 
     Loops, repeated edges and nulls are allowed; loops alone make a component of one node. No edges: no rows.
     Each step writes the new edges to the shared folder and the older ones are deleted; the loop ends when a large-star and
-    a small-star step leave the edges as they were. Hubs with more than a share of the edges are joined under salts.
+    a small-star step leave nothing but stars. Hubs with more than a share of the edges are joined under salts. Steps grow with the logarithm of the
+    nodes; after ``STEPS`` an error is raised instead of an unfinished result.
     """
+    own = scratch is None
     scratch = scratch or Scratch(edges.sparkSession, "components")
     pairs = edges.select(F.col(a).cast("string").alias("u"), F.col(b).cast("string").alias("v")).filter("u is not null and v is not null").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = scratch.keep(pairs)  # u >= v
-    nodes = now.filter("u = v").select("u")
-    links = now.filter("u <> v")
-    seen = _mark(links)
-    first, old = now, None
+    first = scratch.keep(pairs)  # u >= v
+    nodes = first.filter("u = v").select("u")
+    links, old = first.filter("u <> v"), None
     for _ in range(STEPS):
         large = scratch.keep(_large_star(links))
-        new = scratch.keep(_small_star(large))
+        links = scratch.keep(_small_star(large))
         scratch.free(large, *([old] if old is not None else []))
-        mark = _mark(new)
-        links, old = new, new
-        if mark == seen:
+        old = links
+        if _only_stars(links):
             break
-        seen = mark
+    else:
+        raise RuntimeError(f"components not finished after {STEPS} steps")
     roots = links.select("u", "v")
     alone = nodes.join(roots.select("u"), "u", "left_anti").join(roots.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
     out = scratch.keep(
@@ -64,11 +64,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", *, scratch: Scratch
         .unionByName(alone.select(F.col("u").alias("node"), F.col("u").alias("root")))
     )
     scratch.free(first, links)
+    if own:
+        scratch.free_all(out)
     return out
 
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _only_stars(links: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour or is one, and not both. Edges keep components and lead to smaller nodes, so a star's centre is then its smallest node."""
+    ends = links.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.agg(F.coalesce(F.max(F.col("up") + F.col("down")), F.lit(0))).first()[0] <= 1
 
 
 def _large_star(links: DataFrame) -> DataFrame:
