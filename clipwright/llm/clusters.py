@@ -1,10 +1,15 @@
 """Clusters of mutually similar records, each described by its size and its most typical members.
 
-Records are vectors (given embeddings, or texts hashed to weighted features). Distributed k-means with parallel
-oversampled seeding puts each vector into the cell of its nearest centroid; a vector is a guest of the other cells too, as far as bounds
-on distances can't rule out that it has an alike vector there, so that each alike pair shares a cell. Inside cells vectors with a cosine of at least the threshold are linked, and connected components of the links are the
-clusters. A cell mostly filled by one group is cut into blocks: rows alike to a pivot of that group are linked to the
-pivot only, and the rest of the cell meets each block.
+Records are vectors (given embeddings, or texts hashed to weighted features). Clusters are the components of all pairs with a cosine of at least a
+threshold, that is with an angle of at most t. Distributed k-means with parallel oversampled seeding, on a bounded sample, gives centroids, and these
+index all vectors so that no alike pair is missed:
+
+* The core of a cell are the vectors within t / 2 of its centroid. Any two of them are alike, so each is linked to the cell's pivot and to no other.
+* A vector that is alike to one of the core lies within 1.5 t of the centroid. There are few such vectors; most are alike to the pivot, and the
+  others, guests of the cell, are compared with the core in blocks.
+* So all pairs with a vector of a core are done. The vectors that are in no core go through the same again with centroids of their own, and what no
+  round gathers (vectors far from all others, mostly) is compared inside cells of k-means, with those as guests that are near enough to a border. That
+  last step has a bound on memory and shuffle for each cell, but its work grows with the square of such vectors, as vectors of many dimensions without near ones can't be told apart by cells.
 """
 
 from __future__ import annotations
@@ -14,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +30,12 @@ from clipwright.llm.related import components
 from clipwright.operators.skew import heavy_keys, salted_join
 from clipwright.storage import Scratch
 
-MAX_CELLS = 4096
-PIVOTS = 24
-BLOCK = 8192
-SEED_SHARE = 0.5
-CORE = 0.75
+MAX_CELLS = 4096  # bounds what is broadcast; fewer cells than vectors ask for mean more work, not other results
+SAMPLE_PER_CELL = 64
+ROUNDS = 4
+FEW = 8192
+BLOCK = 16_384
+LOOSE_CELL = 16_384
 SLACK = 1e-5
 
 
@@ -41,66 +47,179 @@ def hashed_features(df: DataFrame, text: str, into: str = "embedding", *, dims:
     return weighted.withColumn(into, vector_to_array("_tfidf", "float32")).drop("_w", "_tf", "_tfidf")
 
 
+def common_length(df: DataFrame, vector: str) -> int:
+    """The length most vectors have, of equally frequent ones the smaller; 1 without vectors."""
+    sizes = df.select(F.size(vector).alias("d")).filter("d > 0").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    top = sizes.orderBy(F.desc("n"), "d").first()
+    return top["d"] if top else 1
+
+
 def usable_vectors(df: DataFrame, *, record: str, vector: str, ok: str | None, dims: int | None) -> DataFrame:
-    """(record, h, v): unit vectors with a 128-bit digest. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims`` (without it: than their batch's first)."""
+    """(record, h, v): unit vectors with a 128-bit digest. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims`` (without it: than most have)."""
     rows = df.filter(F.coalesce(F.col(ok), F.lit(True))) if ok else df
-    rows = rows.select(F.col(record).cast("string").alias("record"), F.col(vector).alias("x")).filter("record is not null and x is not null and size(x) > 0")
-    if dims:
-        rows = rows.filter(F.size("x") == dims)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            sizes = pdf["x"].map(len)
-            pdf = pdf[sizes == (dims or sizes.iloc[0])]
-            x = np.stack([np.asarray(e, dtype=np.float64) for e in pdf["x"]])
-            n = np.sqrt((x * x).sum(axis=1))
-            good = np.isfinite(n) & (n > 0)
-            if not good.any():
-                continue
-            v = (x[good] / n[good, None]).astype(np.float32)
-            yield pd.DataFrame({"record": pdf["record"][good].to_numpy(), "h": [xxhash.xxh3_128_digest(r.tobytes()) for r in v], "v": list(v)})
-
-    return rows.mapInPandas(run, "record string, h binary, v array<float>")
-
-
-def fit_centroids(vectors: DataFrame, k: int, *, seed: int = 7, rounds: int = 2, steps: int = 4) -> np.ndarray:
-    """k-means|| seeding and Lloyd steps over all vectors; at most ``k`` unit centroids."""
-    model = KMeans(k=k, seed=seed, initMode="k-means||", initSteps=rounds, maxIter=steps, featuresCol="f").fit(vectors.select(array_to_vector("v").alias("f")))
-    c = np.asarray(model.clusterCenters(), dtype=np.float32)
-    n = np.linalg.norm(c, axis=1, keepdims=True)
-    return (c / np.where(n > 0, n, 1)).astype(np.float32)
+    dims = dims or common_length(rows, vector)
+    rows = rows.select(F.col(record).cast("string").alias("record"), F.col(vector).cast("array<float>").alias("x")).filter(F.col("record").isNotNull() & (F.size("x") == dims))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1), dims).astype(np.float64)
+            with np.errstate(all="ignore"):
+                n = np.sqrt((x * x).sum(axis=1))
+                good = np.isfinite(n) & (n > 0)
+                v = (x[good] / n[good, None]).astype(np.float32)
+            digests = pa.array([xxhash.xxh3_128_digest(r.tobytes()) for r in v], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), digests, _lists(v)], names=["record", "h", "v"])
+
+    return rows.mapInArrow(run, "record string, h binary, v array<float>")
+
+
+def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
+    """Rows of an Arrow list column as one array without a copy for each row; null items become NaN."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _lists(x: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] if x.ndim > 1 else 0)), pa.array(x.reshape(-1)))
 
 
 def _stack(s: pd.Series) -> np.ndarray:
     return np.stack(s.to_numpy()).astype(np.float32) if len(s) else np.zeros((0, 1), np.float32)
 
 
-def cells_for(x: np.ndarray, c: np.ndarray, least: float, reach: float = 0.0) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The nearest centroid of each row and the other ones whose cells it is a guest of, such that of two rows with a cosine of at least ``least`` one is in the other's home.
+def _unit(c: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(c, axis=1, keepdims=True)
+    return (c / np.where(n > 0, n, 1)).astype(np.float32)
 
-    The way between two such rows is at most ``sqrt(2 - 2 * least)`` long and crosses the border of their homes, so one of them is within half of that
-    (or a larger ``reach``) of the border. Rows within ``CORE`` of the angle of ``least`` from their centroid are the core of their cell, and only rows within
-    the sum of both angles from a centroid have alike rows in its core. Core rows are guests where they are near the border and can meet
-    the core; others where they can meet the core, which then needn't come to them, or are near the border. Rows and centroids are of length one.
+
+def _chance(h: pa.Array, seed: int) -> np.ndarray:
+    """A number in (0, 1) for each digest, the same in a task that runs again."""
+    return (np.asarray([xxhash.xxh3_64_intdigest(b, seed) >> 11 for b in h.to_pylist()], np.float64) + 0.5) / 2.0**53
+
+
+def thin_out(points: np.ndarray, weights: np.ndarray, k: int, seed: int, steps: int = 3) -> np.ndarray:
+    """``k`` unit centroids of weighted points, at most a few times k: seeding by distance, then Lloyd steps."""
+    if len(points) <= k:
+        return points
+    rng = np.random.default_rng(seed)
+    picked = [int(weights.argmax())]
+    gap = 1 - points @ points[picked[0]]
+    for _ in range(k - 1):
+        p = np.cumsum(np.maximum(gap, 0) * weights)
+        if p[-1] <= 0:
+            break
+        picked.append(int(min(np.searchsorted(p, rng.random() * p[-1], side="right"), len(points) - 1)))
+        gap = np.minimum(gap, 1 - points @ points[picked[-1]])
+    c = points[picked]
+    for _ in range(steps):
+        own = (points @ c.T).argmax(1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, own, points * weights[:, None])
+        c = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, _unit(sums), c)
+    return c
+
+
+def fit_centroids(vectors: DataFrame, k: int, dims: int, scratch: Scratch, *, n: int, seed: int = 7, rounds: int = 2, steps: int = 2) -> tuple[np.ndarray, list[str | None], np.ndarray]:
+    """(unit centroids, name of each one's nearest vector or None, that vector) by k-means|| seeding and Lloyd steps over tasks.
+
+    They are fitted on about ``SAMPLE_PER_CELL`` times ``k`` of the ``n`` vectors, taken by hash; all if there are fewer. Only candidates for
+    centroids, some 3 k rows at most, and sums by cell come to the driver.
+    """
+    share = min(1.0, SAMPLE_PER_CELL * k / max(n, 1))
+    wanted = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < max(1, round(share * (1 << 20)))
+    sample = scratch.keep(vectors.filter(wanted).select("record", "h", "v") if share < 1 else vectors.select("record", "h", "v"))
+    context = vectors.sparkSession.sparkContext
+
+    def draw(known: np.ndarray | None, count: int, turn: int) -> np.ndarray:
+        """``count`` different rows, with chances in proportion to their distance from the known centroids: the smallest exponential draws."""
+        shared = context.broadcast(known)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: list[tuple[np.ndarray, np.ndarray]] = []
+            for batch in batches:
+                x = _matrix(batch.column(2), dims)
+                gap = np.ones(len(x)) if shared.value is None else np.maximum(1 - (x @ shared.value.T).max(axis=1), 0)
+                with np.errstate(divide="ignore"):
+                    key = -np.log(_chance(batch.column(1), seed + turn)) / gap
+                best.append((key, x))
+                keys, rows = np.concatenate([b[0] for b in best]), np.concatenate([b[1] for b in best])
+                at = np.argsort(keys, kind="stable")[:count]
+                best = [(keys[at], rows[at])]
+            for keys, rows in best:
+                fine = np.isfinite(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[fine]), _lists(rows[fine])], names=["key", "v"])
+
+        got = sample.mapInArrow(run, "key double, v array<float>").orderBy("key").limit(count).toPandas()
+        return _stack(got["v"]) if len(got) else np.zeros((0, dims), np.float32)
+
+    def gather(c: np.ndarray) -> pd.DataFrame:
+        """By cell: rows, their sum, and the row nearest the centroid."""
+        shared = context.broadcast(c)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            k = len(shared.value)
+            sums, count = np.zeros((k, dims)), np.zeros(k, np.int64)
+            cos, name, row = np.full(k, -2.0), np.full(k, None, object), np.zeros((k, dims), np.float32)
+            for batch in batches:
+                x, names = _matrix(batch.column(2), dims), batch.column(0).to_pylist()
+                s = x @ shared.value.T
+                own = s.argmax(axis=1)
+                near = s[np.arange(len(x)), own]
+                np.add.at(sums, own, x)
+                count += np.bincount(own, minlength=k)
+                order = np.lexsort((-near, own))
+                first = order[np.unique(own[order], return_index=True)[1]]
+                first = first[near[first] > cos[own[first]]]
+                cos[own[first]], row[own[first]] = near[first], x[first]
+                name[own[first]] = [names[i] for i in first]
+            at = np.flatnonzero(count)
+            columns = [pa.array(at.astype(np.int32)), pa.array(count[at]), _lists(sums[at]), pa.array(cos[at]), pa.array(list(name[at]), pa.string()), _lists(row[at])]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "n", "total", "cos", "name", "row"])
+
+        def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+            """Several cells at once, as there are many small ones."""
+            pdf = pdf.sort_values(["cell", "cos", "name"], ascending=[True, False, True])
+            cells, first, of = np.unique(pdf["cell"].to_numpy(), return_index=True, return_inverse=True)
+            total = np.zeros((len(cells), dims))
+            np.add.at(total, of, np.stack(pdf["total"].to_numpy()))
+            count = np.bincount(of, weights=pdf["n"].to_numpy()).astype(np.int64)
+            best = pdf.iloc[first]
+            return pd.DataFrame({"cell": cells, "n": count, "total": list(total), "name": best["name"].to_numpy(), "row": list(best["row"])})
+
+        parts = sample.mapInArrow(run, "cell int, n long, total array<double>, cos double, name string, row array<float>")
+        merged = parts.groupBy(F.pmod("cell", F.lit(32))).applyInPandas(merge, "cell int, n long, total array<double>, name string, row array<float>")
+        return merged.toPandas().sort_values("cell")
+
+    c = draw(None, max(1, k // 2), 0)
+    for turn in range(1, rounds + 1):
+        c = np.concatenate([c, draw(c, k, turn)])
+    found = gather(c)
+    c = thin_out(c[found["cell"].to_numpy()], found["n"].to_numpy(np.float64), k, seed)
+    names: list[str | None] = []
+    rows = np.zeros((0, dims), np.float32)
+    for _ in range(steps):
+        found = gather(c)  # cells without rows fall out
+        c, names, rows = _unit(np.stack(found["total"].to_numpy())), found["name"].tolist(), _stack(found["row"])
+    scratch.free(sample)
+    return c, names, rows
+
+
+def border_cells(x: np.ndarray, c: np.ndarray, least: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The nearest centroid of each row and the cells of smaller number it is a guest of, such that of two rows with a cosine of at least ``least`` one is in the other's home.
+
+    The way between two such rows is at most ``sqrt(2 - 2 * least)`` long and crosses the border of their homes, so both are within that of the border. Each
+    pair meets in the one of the two homes with the smaller number, hence once.
     """
     home, guests = np.empty(len(x), np.int64), []
-    angle = math.acos(max(-1.0, least - SLACK))
-    core, meet = math.cos(CORE * angle), math.cos(min(math.pi, (1 + CORE) * angle)) - SLACK
-    reach = max(reach, math.sqrt((1 - least + SLACK) / 2))
+    reach = math.sqrt(2 * (1 - least + SLACK))
     wide = c.astype(np.float64)
-    square = (wide * wide).sum(1)
-    apart = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * wide @ wide.T, 0))
+    apart = np.sqrt(np.maximum((wide * wide).sum(1)[:, None] + (wide * wide).sum(1)[None] - 2 * wide @ wide.T, 0))
+    half = (wide * wide).sum(1) / 2
     for lo in range(0, len(x), 4096):
-        part = x[lo : lo + 4096] @ c.T
+        part = x[lo : lo + 4096] @ c.T - half
         h = part.argmax(1)
         home[lo : lo + 4096] = h
-        best = part[np.arange(len(h)), h][:, None]
-        # distance to the border with each other centroid
-        near = (best - part) <= reach * apart[h] + SLACK
-        near = np.where(best >= core, near & (part >= meet), near | (part >= meet))
-        near[np.arange(len(h)), h] = False
+        near = (part[np.arange(len(h)), h][:, None] - part) <= reach * apart[h] + SLACK
+        near &= np.arange(len(c))[None] < h[:, None]
         guests += [np.flatnonzero(r) for r in near]
     return home, guests
 
@@ -108,141 +227,197 @@ def cells_for(x: np.ndarray, c: np.ndarray, least: float, reach: float = 0.0) ->
 def spanning_links(x: np.ndarray, guest: np.ndarray | None, least: float) -> list[tuple[int, int]]:
     """Pairs of rows that join them as all pairs with a cosine of at least ``least`` do, but for pairs of two guests.
 
-    A row that is reached is compared with rows not reached yet and with no others, so a large group of alike rows costs
-    one product with its first row and one of its members with the rest.
+    Rows are compared in tiles; of a tile's alike pairs only those that join two groups are taken, so dense groups make few links.
     """
     n = len(x)
     guest = np.zeros(n, bool) if guest is None else guest
-    rest_own, rest_guest = np.flatnonzero(~guest), np.flatnonzero(guest)
+    own, label = np.flatnonzero(~guest), np.arange(n)
+    order = np.concatenate([own, np.flatnonzero(guest)])
     out: list[tuple[int, int]] = []
-    while len(rest_own):
-        front, rest_own = rest_own[:1], rest_own[1:]
-        while len(front):
-            now, front = front[:512], front[512:]
-            fresh = []
-            for mine, rest in ((now, rest_own), (now[~guest[now]], rest_guest)):
-                if not len(mine) or not len(rest):
-                    continue
-                hit = x[mine] @ x[rest].T >= least
-                found = hit.any(axis=0)
-                if found.any():
-                    by = mine[hit[:, found].argmax(axis=0)]
-                    out += zip(by.tolist(), rest[found].tolist(), strict=True)
-                    fresh.append(rest[found])
-                if rest is rest_own:
-                    rest_own = rest[~found]
-                else:
-                    rest_guest = rest[~found]
-            front = np.concatenate([front, *fresh])
+    for lo in range(0, len(own), 512):
+        rows = own[lo : lo + 512]
+        for at in range(lo, n, 8192):
+            cols = order[at : at + 8192]
+            hit = x[rows] @ x[cols].T >= least
+            some = np.flatnonzero(hit.any(axis=0))
+            hit, cols = hit[:, some], cols[some]
+            while True:
+                new = hit & (label[rows][:, None] != label[cols][None])
+                c = np.flatnonzero(new.any(axis=0))
+                if not len(c):
+                    break
+                r = new[:, c].argmax(axis=0)
+                parent: dict[int, int] = {}
+                for a, b in zip(rows[r].tolist(), cols[c].tolist(), strict=True):
+                    p, q = int(label[a]), int(label[b])
+                    while p in parent:
+                        p = parent[p]
+                    while q in parent:
+                        q = parent[q]
+                    if p != q:
+                        parent[max(p, q)] = min(p, q)
+                        out.append((a, b))
+                moved = np.arange(n)
+                for p in sorted(parent):  # parents are smaller, so theirs are known
+                    moved[p] = moved[parent[p]]
+                label = moved[label]
     return out
 
 
-def alike_links(vectors: DataFrame, centroids: np.ndarray, least: float, scratch: Scratch, *, reach: float = 0.0, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between records whose components are those of all pairs with a cosine of at least ``least`` (see ``cells_for``).
-
-    Broadcast are the centroids (at most ``MAX_CELLS``) and ``PIVOTS`` vectors a cell.
+class Cores:
+    """Centroids whose cells have a pivot in their core, for placing vectors (see the module's text)."""
+
+    def __init__(self, centroids: np.ndarray, names: list[str | None], rows: np.ndarray, least: float) -> None:
+        angle = math.acos(max(-1.0, min(1.0, least)))
+        self.least, self.core, self.meet = least, math.cos(angle / 2) + SLACK, math.cos(min(math.pi, 1.5 * angle)) - SLACK
+        usable = (centroids * rows).sum(axis=1) >= self.core if len(centroids) else np.zeros(0, bool)
+        self.centroids, self.rows, self.names = centroids[usable], rows[usable], [n for n, u in zip(names, usable, strict=True) if u]
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Home of each core row (-1 for the others), (row, cell) of rows alike to a pivot, and (row, cell) of guests."""
+        home = np.full(len(x), -1, np.int32)
+        if not len(self.centroids) or not len(x):
+            none = np.zeros(0, np.int64)
+            return home, (none, none), (none, none)
+        linked, guests = [], []
+        for lo in range(0, len(x), 4096):
+            part = x[lo : lo + 4096]
+            s = part @ self.centroids.T
+            h = s.argmax(axis=1)
+            inside = s[np.arange(len(h)), h] >= self.core
+            home[lo : lo + 4096][inside] = h[inside]
+            meets = s >= self.meet
+            meets[np.flatnonzero(inside), h[inside]] = False
+            row, cell = np.nonzero(meets)
+            alike = np.einsum("ij,ij->i", part[row], self.rows[cell]) >= self.least
+            linked.append((np.concatenate([np.flatnonzero(inside), row[alike]]) + lo, np.concatenate([h[inside], cell[alike]])))
+            guests.append((row[~alike] + lo, cell[~alike]))
+        both = lambda parts: tuple(np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        return home, both(linked), both(guests)
+
+
+def _grouped(row: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
+    """A list of values for each of n rows."""
+    order = np.argsort(row, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order].tolist(), kind))
+
+
+def core_links(vectors: DataFrame, cores: Cores, dims: int, scratch: Scratch, *, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b), vectors that are in no core). The links join the records as all alike pairs do of which one vector is in a core.
+
+    Broadcast are centroids and pivots, at most ``MAX_CELLS`` each. Guests meet the core of a cell in blocks of both, so no task holds a whole large cell.
     """
-    spark = vectors.sparkSession
-    shared = spark.sparkContext.broadcast(centroids)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            home, guests = cells_for(_stack(pdf["v"]), shared.value, least, reach)
-            yield pd.DataFrame({"record": pdf["record"], "v": pdf["v"], "home": home.astype(np.int32), "guests": [g.astype(np.int32) for g in guests]})
-
-    placed = scratch.keep(vectors.mapInPandas(place, "record string, v array<float>, home int, guests array<int>"))
-    first = Window.partitionBy("home").orderBy(F.xxhash64("record"), "record")
-    pivots = placed.select("home", "record", "v").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= PIVOTS).toPandas().sort_values(["home", "r"])
-    table = {}
-    for cell, g in pivots.groupby("home"):
-        x = _stack(g["v"])
-        label = np.arange(len(x))
-        for a, b in spanning_links(x, None, least):
-            label[label == label[b]] = label[a]
-        table[int(cell)] = (x, label, g["record"].to_list())
-    known = spark.sparkContext.broadcast(table)
-
-    def absorb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The group of pivots a row is alike to, and the pivot it is linked to."""
-        for pdf in batches:
-            label, pivot = np.full(len(pdf), -1, np.int32), np.full(len(pdf), None, object)
-            homes = pdf["home"].to_numpy()
-            x = _stack(pdf["v"])
-            for cell in np.unique(homes):
-                at = np.flatnonzero(homes == cell)
-                p, groups, names = known.value[int(cell)]
-                hit = x[at] @ p.T >= least
-                one = hit.argmax(1)
-                ok = hit[np.arange(len(at)), one]
-                label[at[ok]] = groups[one[ok]]
-                pivot[at[ok]] = np.asarray(names, dtype=object)[one[ok]]
-            yield pdf.assign(label=label, pivot=pivot)
-
-    marked = scratch.keep(placed.mapInPandas(absorb, "record string, v array<float>, home int, guests array<int>, label int, pivot string"))
-    sizes = marked.filter("label >= 0").groupBy("home", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # at most PIVOTS rows a cell
-    main: dict[int, tuple[int, int]] = {}
-    for r in sizes:
-        if r["n"] > main.get(r["home"], (0, 0))[0]:
-            main[r["home"]] = (r["n"], r["label"])
-    plan = spark.createDataFrame([(h, lab, max(1, math.ceil(n / block))) for h, (n, lab) in main.items()], "cell int, main int, blocks int")
-    cell_rows = marked.select("record", "v", "label", F.col("home").alias("cell"), F.lit(True).alias("own")).unionByName(
-        marked.select("record", "v", F.lit(-1).alias("label"), F.explode("guests").alias("cell"), F.lit(False).alias("own"))
+    shared = vectors.sparkSession.sparkContext.broadcast(cores)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = shared.value
+        for batch in batches:
+            home, (row, cell), (guest, of) = c.place(_matrix(batch.column(2), dims))
+            to = np.asarray(c.names, dtype=object)[cell] if len(cell) else np.zeros(0, object)
+            columns = [*batch.columns, pa.array(home), _grouped(row, to, len(home), pa.string()), _grouped(guest, of, len(home), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["record", "h", "v", "home", "to", "guest"])
+
+    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v array<float>, home int, to array<string>, guest array<int>"))
+    links = placed.select(F.col("record").alias("a"), F.explode("to").alias("b"))
+    guests = placed.filter(F.size("guest") > 0).select("record", "h", "v", F.explode("guest").alias("cell"))
+    visited = {r["cell"]: r["n"] for r in guests.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most a row for each cell
+    if visited:
+        sizes = placed.filter(F.col("home").isin(list(visited))).groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()
+        plan = [(r["home"], math.ceil(r["n"] / block), math.ceil(visited[r["home"]] / block)) for r in sizes]
+        where = vectors.sparkSession.createDataFrame(plan, "cell int, own int, other int")
+        mine = placed.filter("home >= 0").select("record", "h", "v", F.col("home").alias("cell"))
+        links = links.unionByName(_met_in_blocks(mine, guests, where, cores.least))
+    return links, placed.filter("home < 0").select("record", "h", "v")
+
+
+def _met_in_blocks(own: DataFrame, other: DataFrame, plan: DataFrame, least: float, *, among: bool = False) -> DataFrame:
+    """(a, b): links between own and other rows (record, h, v) of each cell, by blocks of both; ``among`` own ones too. ``plan`` has the numbers of blocks (cell, own, other)."""
+    part = lambda c: F.pmod(F.xxhash64("h"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = own.join(F.broadcast(plan), "cell").select("cell", "record", "v", part("own").alias("i"), every("other").alias("j"), F.lit(True).alias("left"))
+    right = other.join(F.broadcast(plan), "cell").select("cell", "record", "v", every("own").alias("i"), "other").select(
+        "cell", "record", "v", "i", F.pmod(F.xxhash64("record"), F.col("other")).cast("int").alias("j"), F.lit(False).alias("left")
     )
-    dealt = cell_rows.join(F.broadcast(plan), "cell", "left").withColumn("inside", F.coalesce(F.col("own") & (F.col("label") == F.col("main")), F.lit(False)))
-    blocks = F.coalesce("blocks", F.lit(1))
-    at = F.when(F.col("inside"), F.array(F.pmod(F.xxhash64("record"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), (blocks - 1).cast("int")))
-    dealt = dealt.select("cell", F.explode(at).alias("block"), "record", "v", "inside", "own")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Rows of the main group are linked to a pivot already: only the first of them starts a search, and the others are met by rows outside the group."""
-        inside, own = pdf["inside"].to_numpy(bool), pdf["own"].to_numpy(bool)
-        x, names = _stack(pdf["v"]), pdf["record"].to_numpy()
-        out, other = [], np.flatnonzero(~inside)
-        main_rows = np.flatnonzero(inside)
-        if len(main_rows) and len(other):
-            for lo in range(0, len(main_rows), 1024):
-                part = main_rows[lo : lo + 1024]
-                hit = x[part] @ x[other].T >= least
-                found = hit.any(axis=0)
-                out += zip(part[hit[:, found].argmax(axis=0)].tolist(), other[found].tolist(), strict=True)
-        if len(other) and int(pdf["block"].iloc[0]) == 0:
-            out += [(int(other[a]), int(other[b])) for a, b in spanning_links(x[other], ~own[other], least)]
-        return pd.DataFrame([(names[a], names[b]) for a, b in out], columns=["a", "b"])
-
-    found = dealt.groupBy("cell", "block").applyInPandas(link, "a string, b string")
-    stars = marked.filter("pivot is not null").select(F.col("record").alias("a"), F.col("pivot").alias("b"))
-    within = [(names[a], names[b]) for x, _, names in table.values() for a, b in spanning_links(x, None, least)]
-    return scratch.keep(found.unionByName(stars).unionByName(spark.createDataFrame(within, "a string, b string")).filter("a <> b").distinct())
+        x, left, names = _stack(pdf["v"]), pdf["left"].to_numpy(bool), pdf["record"].to_numpy()
+        if among:
+            out = [(names[a], names[b]) for a, b in spanning_links(x, ~left, least)]
+            return pd.DataFrame(out, columns=["a", "b"])
+        mine, theirs = np.flatnonzero(left), np.flatnonzero(~left)
+        out = []
+        for lo in range(0, len(theirs) if len(mine) else 0, 1024):
+            some = theirs[lo : lo + 1024]
+            hit = x[some] @ x[mine].T >= least
+            found = hit.any(axis=1)  # own rows are joined with each other already, so one of them is enough
+            out += zip(names[some[found]], names[mine[hit[found].argmax(axis=1)]], strict=True)
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return left.unionByName(right).groupBy("cell", "i", "j").applyInPandas(link, "a string, b string")
+
+
+def loose_links(vectors: DataFrame, n: int, least: float, dims: int, scratch: Scratch, *, cells: int | None = None, block: int = BLOCK, seed: int = 7) -> DataFrame:
+    """(a, b): links that join the records as all alike pairs do. Cells have some ``LOOSE_CELL`` rows, and large ones are met in blocks."""
+    k = cells or min(MAX_CELLS, max(1, math.ceil(n / LOOSE_CELL)))
+    centroids = fit_centroids(vectors, k, dims, scratch, n=n, seed=seed)[0] if k > 1 else np.zeros((1, dims), np.float32)
+    shared = vectors.sparkSession.sparkContext.broadcast(centroids)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home, guests = border_cells(_matrix(batch.column(2), dims), shared.value, least)
+            lists = _grouped(np.repeat(np.arange(len(home)), [len(g) for g in guests]), np.concatenate([*guests, np.zeros(0, np.int64)]), len(home), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32)), lists], names=["record", "h", "v", "home", "guest"])
+
+    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v array<float>, home int, guest array<int>"))
+    own = placed.select("record", "h", "v", F.col("home").alias("cell"))
+    other = placed.select("record", "h", "v", F.explode("guest").alias("cell"))
+    # a large cell's own rows meet each other in blocks too, so they come as other ones then
+    sizes = {r["cell"]: r["n"] for r in own.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    visits = {r["cell"]: r["n"] for r in other.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    large = [c for c, m in sizes.items() if m > block]
+    if large:
+        other = other.unionByName(own.filter(F.col("cell").isin(large)))
+    blocks = [(c, math.ceil(m / block), max(1, math.ceil((visits.get(c, 0) + (m if m > block else 0)) / block))) for c, m in sizes.items()]
+    plan = vectors.sparkSession.createDataFrame(blocks, "cell int, own int, other int")
+    return _met_in_blocks(own, other, plan, least, among=True)
 
 
 def similarity_clusters(
-    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, seed: int = 7
+    df: DataFrame, *, record: str, vector: str, ok: str | None = None, least: float = 0.8, dims: int | None = 64, cells: int | None = None, seed: int = 7, few: int = FEW, block: int = BLOCK
 ) -> DataFrame:
     """(record, cluster_key): each usable record and the smallest record of its cluster, singles included.
 
-    ``cells`` defaults to the square root of the number of different vectors, at most ``MAX_CELLS``; they decide about
-    the work only, as each two alike vectors meet in a cell. Rows of one record are one node, whatever their vectors. Equal vectors are compared once. Unusable rows
+    ``cells`` defaults to three times the square root of the number of different vectors, at most ``MAX_CELLS``; like ``few`` (rounds go on above it) and ``block`` it
+    decides about the work only, as each two alike vectors meet. Rows of one record are one node, whatever their vectors. Equal vectors are compared once. Unusable rows
     (see ``usable_vectors``) are left out; an empty table gives no rows.
     """
+    if not 0 < least < 1:
+        raise ValueError("least must be between 0 and 1")
     scratch = Scratch(df.sparkSession, "clusters")
+    dims = dims or common_length(df.filter(F.coalesce(F.col(ok), F.lit(True))) if ok else df, vector)
     rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims))
     # equal vectors once, told by their digests
-    distinct = scratch.keep(rows.groupBy("h").agg(F.min("record").alias("record"), F.any_value("v").alias("v")))
-    n = distinct.count()
-    same = salted_join(rows.select("record", "h"), distinct.select("h", F.col("record").alias("first")), "h", heavy=heavy_keys(rows, "h")).select(F.col("record").alias("a"), F.col("first").alias("b"))
+    left = scratch.keep(rows.groupBy("h").agg(F.min("record").alias("record"), F.any_value("v").alias("v")))
+    firsts = left.select("h", F.col("record").alias("first"))
+    edges = salted_join(rows.select("record", "h"), firsts, "h", heavy=heavy_keys(rows, "h")).select(F.col("record").alias("a"), F.col("first").alias("b")).filter("a <> b")
+    n = left.count()
+    for turn in range(ROUNDS):
+        if n <= few:
+            break
+        k = cells or min(MAX_CELLS, round(3 * math.sqrt(n)))
+        cores = Cores(*fit_centroids(left, k, dims, scratch, n=n, seed=seed + turn), least)
+        links, left = core_links(left, cores, dims, scratch, block=block)
+        edges = edges.unionByName(links)
+        before, n = n, left.count()
+        if n > 0.75 * before:
+            break
     if n > 1:
-        k = cells or min(MAX_CELLS, max(1, round(math.sqrt(n))))
-        # one record may have several vectors, so vectors go by record and number
-        named = distinct.select(F.concat_ws("\1", F.hex("h"), "record").alias("record"), "v")
-        centroids = fit_centroids(named, k, seed=seed) if k > 1 else np.asarray([named.first()["v"]], dtype=np.float32)
-        links = alike_links(named, centroids, least, scratch)
-        bare = lambda c: F.substring_index(c, "\1", -1)
-        edges = same.unionByName(links.select(bare(F.col("a")).alias("a"), bare(F.col("b")).alias("b")))
-    else:
-        edges = same
-    return components(edges.distinct(), scratch=scratch).select(F.col("node").alias("record"), F.col("root").alias("cluster_key"))
+        edges = edges.unionByName(loose_links(left, n, least, dims, scratch, cells=cells, block=block, seed=seed))
+    found = components(edges, scratch=scratch).select(F.col("node").alias("record"), F.col("root").alias("cluster_key"))
+    every = scratch.keep(rows.select("record").distinct().join(found, "record", "left").select("record", F.coalesce("cluster_key", "record").alias("cluster_key")))
+    scratch.free_all(every)
+    return every
 
 
 def describe_clusters(df: DataFrame, members: DataFrame, *, record: str, vector: str, ok: str | None = None, dims: int | None = 64, typical: int = 3) -> DataFrame:

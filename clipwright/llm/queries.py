@@ -26,9 +26,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of speaker ids that must share a split."""
     clips = table(spark, sf_dir, "clips_split")
     who = {"speaker": name_key("source_speaker_id"), "index": index_key("speaker_idx")}
-    roots = entity_components(clips, who).filter(F.col("node").startswith("speaker:")).select(F.substring("node", 9, 2**31 - 1).alias("speaker"), "root")
-    pairs = roots.alias("x").join(roots.alias("y"), "root").filter("x.speaker < y.speaker")
-    return pairs.select(F.col("x.speaker").alias("speaker_a"), F.col("y.speaker").alias("speaker_b"))
+    roots = entity_components(clips, who).filter(F.col("node").startswith("speaker:")).select("root", F.substring("node", 9, 2**31 - 1).alias("speaker_a"))
+    others = roots.withColumnRenamed("speaker_a", "speaker_b")
+    # a group's pairs are the result asked for; a large group's are made in several tasks
+    return salted_join(roots, others, "root", heavy=heavy_keys(roots, "root")).filter("speaker_a < speaker_b").select("speaker_a", "speaker_b")
 
 
 def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips in a cluster of at least two, with its smallest source_id."""
     members = similarity_clusters(table(spark, sf_dir, "clip_voice"), **VOICE)
     several = members.groupBy("cluster_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cluster_key")
-    return members.join(several, "cluster_key").select(F.col("record").alias("source_id"), "cluster_key")
+    found = salted_join(members, several, "cluster_key", heavy=heavy_keys(members, "cluster_key"), how="left_semi")
+    return found.select(F.col("record").alias("source_id"), "cluster_key")
 
 
 def p6_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,18 +203,33 @@ def test_clusters_equal_all_pairs(spark):
     assert got == want
 
 
-def test_blocks_give_the_same_links(spark):
-    rng = np.random.default_rng(6)
-    from clipwright.storage import Scratch
+def joined(names, x, least):
+    return connected([(names[i], names[j]) for i, j in zip(*np.nonzero(x @ x.T >= least), strict=True)])
+
 
-    x = np.concatenate([rng.normal(0, 0.05, (300, 8)) + np.eye(8)[0], rng.normal(0, 0.05, (20, 8)) + np.eye(8)[1], [[0.75, 0.66, 0, 0, 0, 0, 0, 0]]])
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
-    df = spark.createDataFrame([(f"c{i:03d}", [float(v) for v in r]) for i, r in enumerate(x)], "record string, v array<float>")
-    for block in (8192, 40):
-        links = clusters.alike_links(df, np.eye(8, dtype=np.float32)[:2], 0.8, Scratch(spark, "t"), reach=0.25, block=block).collect()
-        roots = connected([(r["a"], r["b"]) for r in links])
-        want = connected([(f"c{i:03d}", f"c{j:03d}") for i, j in zip(*np.nonzero(x @ x.T >= 0.8), strict=True)])
-        assert {k: roots.get(k, k) for k in want} == want
+@pytest.mark.parametrize(("few", "block", "cells"), [(8192, 8192, None), (40, 8192, None), (40, 30, 12), (10_000, 50, 5), (10, 8192, 3)])
+def test_clusters_equal_all_pairs_in_blocks_and_rounds(spark, few, block, cells):
+    """One group with a third of all rows, groups of all sizes, loose chains with links of 0.80 to 0.85, rows far from all others."""
+    rng = np.random.default_rng(6)
+    unit = lambda a: a / np.linalg.norm(a, axis=-1, keepdims=True)
+    dims, parts = 12, []
+    parts.append(unit(rng.normal(size=dims)) + rng.normal(0, 0.05, (260, dims)))
+    for _ in range(40):
+        parts.append(unit(rng.normal(size=dims)) + rng.normal(0, rng.choice([0.03, 0.08, 0.12]), (int(rng.integers(1, 14)), dims)))
+    for _ in range(12):  # a chain: each step turns by an angle of cosine 0.80 to 0.85 in a direction of its own
+        at, chain = unit(rng.normal(size=dims)), []
+        for _ in range(8):
+            chain.append(at)
+            side = rng.normal(size=dims)
+            side = unit(side - (side @ at) * at)
+            c = rng.uniform(0.801, 0.85)
+            at = unit(c * at + np.sqrt(1 - c * c) * side)
+        parts.append(np.stack(chain))
+    x = unit(np.concatenate(parts)).astype(np.float32)
+    names = [f"c{i:04d}" for i in rng.permutation(len(x))]
+    df = spark.createDataFrame([(n, [float(v) for v in r]) for n, r in zip(names, x, strict=True)], "source_id string, embedding array<float>")
+    got = {r["record"]: r["cluster_key"] for r in clusters.similarity_clusters(df, record="source_id", vector="embedding", dims=None, few=few, block=block, cells=cells).collect()}
+    assert got == joined(names, x, 0.8)
 
 
 def test_alike_pairs_meet_in_a_cell():
@@ -224,13 +239,25 @@ def test_alike_pairs_meet_in_a_cell():
         x = unit(np.repeat(rng.normal(size=(60, dims)) / np.sqrt(dims), 20, axis=0) + rng.normal(0, spread / np.sqrt(dims), (1200, dims)))
         c = unit(np.concatenate([x[rng.choice(len(x), 24, replace=False)], rng.normal(size=(4, dims))]))
         for least in (0.5, 0.8, 0.95):
-            home, guests = clusters.cells_for(x, c, least)
+            a, b = np.nonzero(np.triu(x @ x.T >= least, 1))
+            home, guests = clusters.border_cells(x, c, least)
             inside = np.zeros((len(x), len(c)), bool)
             inside[np.arange(len(x)), home] = True
             for i, g in enumerate(guests):
                 inside[i, g] = True
-            a, b = np.nonzero(np.triu(x @ x.T >= least, 1))
             assert len(a) and (inside[a, home[b]] | inside[b, home[a]]).all()
+            # each pair with one in a core: the other is in that core, alike to its pivot, or a guest
+            near = (x @ c.T).argmax(axis=0)
+            cores = clusters.Cores(c, [str(i) for i in near], x[near], least)
+            home, linked, guests = cores.place(x)
+            known = np.zeros((len(x), len(cores.centroids)), bool)
+            known[linked] = known[guests] = True
+            for p, q in ((a, b), (b, a)):
+                held = home[p] >= 0
+                assert known[q[held], home[p[held]]].all()
+            for i in np.unique(home[home >= 0]):
+                members = x[home == i]
+                assert (members @ members.T >= least - 1e-6).all()
 
 
 def test_links_far_from_a_border(spark):
