@@ -1,13 +1,13 @@
 """Mixing sources to target weights.
 
-Weights go down a tree (source, then language, or any other levels). A node that can't use its budget, because its records times
+Weights go down a tree: domain, language, source. A node that can't use its budget, because its records times
 their repeats don't suffice, passes the rest to its siblings by their weights, and only what they can't take goes up. Each
 leaf then uses whole epochs of its records and of one more epoch, in a seeded order, the prefix that fits its budget.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from clipwright.llm.bpe import VOCABULARY, token_counts
 from clipwright.storage import Scratch
 
-BUCKETS = 1024
+BITS = 10
+LEVELS = ("domain", "language", "source")
 
 
 @dataclass
 class Node:
     """A node of the weight tree; leaves have ``tokens`` and ``repeats``."""
 
-    weight: float
+    weight: float = 0.0
     tokens: int = 0
     repeats: int = 1
     children: dict[str, Node] = field(default_factory=dict)
@@ -65,11 +66,56 @@ def allocate(node: Node, budget: float, path: tuple[str, ...] = ()) -> dict[tupl
     return out
 
 
+def weight_tree(leaves: Mapping[tuple[str, ...], int], targets: Mapping[str, tuple[float, int]], language_weights: Mapping[str, float] | None = None) -> Node:
+    """The tree over leaves (domain, language, source) -> tokens. A source's share is split over its languages by ``language_weights``, by default by its tokens; each inner node weighs what its leaves do."""
+    by_source: dict[str, dict[str, int]] = {}
+    for (_, language, source), tokens in leaves.items():
+        by_source.setdefault(source, {})[language] = tokens
+    root = Node()
+    for path, tokens in sorted(leaves.items()):
+        _, language, source = path
+        share, repeats = targets[source]
+        sizes = by_source[source] if language_weights is None else {x: language_weights.get(x, 0.0) for x in by_source[source]}
+        total = sum(sizes.values())
+        weight = share * sizes[language] / total if total else 0.0
+        node = root
+        node.weight += weight
+        for name in path:
+            node = node.children.setdefault(name, Node())
+            node.weight += weight
+        node.tokens, node.repeats = tokens, repeats
+    return root
+
+
+def leaves_of(node: Node, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], Node]]:
+    if node.children:
+        for name in sorted(node.children):
+            yield from leaves_of(node.children[name], (*path, name))
+    elif path:
+        yield path, node
+
+
 def feasible_total(root: Node) -> float:
-    """The largest budget at which each child of the root that has tokens gets its share of the weights of such children."""
-    kids = [k for k in root.children.values() if k.capacity and k.weight > 0]
-    total = sum(k.weight for k in kids)
-    return min((k.capacity * total / k.weight for k in kids), default=0.0)
+    """The largest budget at which each leaf with tokens gets its share of the weights of such leaves, so that nothing has to be passed on."""
+    leaves = [n for _, n in leaves_of(root) if n.capacity and n.weight > 0]
+    total = sum(n.weight for n in leaves)
+    return min((n.capacity * total / n.weight for n in leaves), default=0.0)
+
+
+def node_rows(root: Node, total: float, budgets: Mapping[tuple[str, ...], float]) -> list[tuple]:
+    """(level, domain, language, source, weight, wanted, capacity, budget) of each node: ``wanted`` by weight, ``budget`` after shortages have moved."""
+    out: list[tuple] = []
+
+    def visit(node: Node, path: tuple[str, ...]) -> None:
+        share = node.weight / root.weight if root.weight else 0.0
+        got = float(sum(b for p, b in budgets.items() if p[: len(path)] == path))
+        names = [*path, *[None] * (len(LEVELS) - len(path))]
+        out.append((LEVELS[len(path) - 1] if path else "all", *names, share, share * total, node.capacity, got))
+        for name in sorted(node.children):
+            visit(node.children[name], (*path, name))
+
+    visit(root, ())
+    return out
 
 
 def source_key(c: str | Column) -> Column:
@@ -87,20 +133,38 @@ def language_key(c: str | Column) -> Column:
 
 @dataclass
 class Mixture:
-    """``records``: the table's rows in the mixture with ``copies`` and ``tokens``. ``shares``: a row for each target."""
+    """``records``: the table's rows in the mixture with ``copies`` and ``tokens``. ``shares``: a row for each target. ``nodes``: a row for each node of the tree (see ``node_rows``)."""
 
     records: DataFrame
     shares: DataFrame
+    nodes: DataFrame
     total: float
 
 
+def _ends(rows: DataFrame, plan: dict[tuple[str, str], list[int]], place: Column) -> dict[tuple[str, str], tuple[int, int]]:
+    """By leaf the place in which its prefix ends and the tokens before it. Of each leaf come at most ``2 ** BITS`` sums, and the tree has few leaves."""
+    sums = rows.groupBy("source", "language", place.alias("place")).agg(F.sum("tokens").alias("s")).collect()
+    out: dict[tuple[str, str], tuple[int, int]] = {}
+    upto: dict[tuple[str, str], int] = {}
+    for r in sorted(sums, key=lambda r: r["place"]):
+        leaf = (r["source"], r["language"])
+        before = upto.get(leaf, plan[leaf][-1])
+        upto[leaf] = before + r["s"]
+        if leaf not in out and upto[leaf] > plan[leaf][1]:
+            out[leaf] = (r["place"], before)
+    return out
+
+
 def mix_sources(
-    df: DataFrame, targets: Mapping[str, tuple[float, int]], *, record: str, text: str, source: Column, language: Column, total_tokens: float | None = None, seed: int = 0, vocabulary: str = VOCABULARY
-) -> Mixture:
+    df: DataFrame, targets: Mapping[str, tuple[float, int]], *, record: str, text: str, source: Column, language: Column, domains: Mapping[str, str] | None = None,
+    language_weights: Mapping[str, float] | None = None, total_tokens: float | None = None, stretch: float = 1.0, seed: int = 0, vocabulary: str = VOCABULARY,
+) -> Mixture:
     """Mix records to ``targets``, source -> (share, most uses of a record), in tokens of ``vocabulary``.
 
-    ``total_tokens`` defaults to the largest size at which all sources with tokens reach their share of the shares of such sources; a larger one
-    makes small sources fall short, and the others take their part. Inside a source languages keep their natural proportions.
+    Budgets go down the tree of ``domains`` (source -> domain; "other" for those not named), languages and sources. Inside a source languages keep
+    their natural proportions unless ``language_weights`` are given. ``total_tokens`` defaults to ``stretch`` times the largest size at which every source with tokens
+    reaches its share of the shares of such sources; a larger one makes small sources fall short, and what they lack goes to other sources of their language
+    and domain, then to other languages of the domain, then to other domains.
     Sources without a target, null ones, and records without tokens (null or empty text) take no part. A share that no record backs is
     reported with 0. A record is used floor or ceiling of its leaf's epochs times, at most the source's limit; the partial
     epoch never exceeds its budget. Rows with one ``record`` value are told apart only by their copies of it, so it should be unique.
@@ -112,44 +176,40 @@ def mix_sources(
     rows = rows.filter(F.col("source").isin(list(targets)) & F.col("t").isNotNull() & F.col("record").isNotNull())
     # written before the filter, which would otherwise run the encoder once more
     sized = scratch.keep(token_counts(rows, "t", "tokens", vocabulary=vocabulary).select("record", "source", "language", "tokens")).filter("tokens > 0")
-    leaves = sized.groupBy("source", "language").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).collect()
-    root = Node(1.0, children={s: Node(w) for s, (w, _) in targets.items()})
-    for r in leaves:
-        root.children[r["source"]].children[r["language"]] = Node(float(r["tokens"]), r["tokens"], targets[r["source"]][1])
-    for s, node in root.children.items():
-        if not node.children:
-            node.tokens = 0
-    total = feasible_total(root) if total_tokens is None else float(total_tokens)
-    budgets = allocate(root, total)
-    plan = []
-    for r in leaves:
-        budget = int(budgets.get((r["source"], r["language"]), 0.0) + 1e-6)
-        plan.append((r["source"], r["language"], budget // r["tokens"], budget % r["tokens"]))
-    leaf_plan = spark.createDataFrame(plan, "source string, language string, epochs long, rest long")  # a row for each target and language
+    domain = lambda s: (domains or {}).get(s, "other")
+    sizes = {(r["source"], r["language"]): r["n"] for r in sized.groupBy("source", "language").agg(F.sum("tokens").alias("n")).collect()}
+    root = weight_tree({(domain(s), x, s): n for (s, x), n in sizes.items()}, targets, language_weights)
+    total = stretch * feasible_total(root) if total_tokens is None else float(total_tokens)
+    budgets = allocate(root, total) if sizes else {}
+    # leaf -> whole epochs, tokens of the partial one, and the tokens known to lie before the place in which that ends
+    plan = {(s, x): [int(b + 1e-6) // sizes[s, x], int(b + 1e-6) % sizes[s, x], 0] for (_, x, s), b in budgets.items()}
     order = F.xxhash64(F.lit(seed), "source", "language", F.col("record").cast("string"))
-    bucketed = sized.withColumn("_order", order).withColumn("_bucket", F.shiftright(F.col("_order"), 54).cast("int"))
-    sums = bucketed.groupBy("source", "language", "_bucket").agg(F.sum("tokens").alias("s"))
-    run = Window.partitionBy("source", "language").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = sums.withColumn("upto", F.sum("s").over(run)).join(F.broadcast(leaf_plan), ["source", "language"])
-    # the bucket in which a leaf's prefix ends, and the tokens before it; whole buckets before it are in, those after it out
-    edge = ends.filter("upto > rest").groupBy("source", "language").agg(F.min(F.struct("_bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("e"))
-    edges = leaf_plan.join(edge, ["source", "language"], "left").select("source", "language", "epochs", "rest", F.col("e._bucket").alias("last"), F.col("e.before").alias("before"))
-    known = spark.createDataFrame(edges.collect(), edges.schema)
-    placed = bucketed.join(F.broadcast(known), ["source", "language"])
-    inner = placed.filter("_bucket = last")
+    ordered = sized.withColumn("_order", order)
+    coarse, fine = F.shiftright("_order", 64 - BITS).cast("int"), F.shiftright("_order", 64 - 2 * BITS).cast("int")
+    # the prefix ends in one of 2 ** BITS parts of the order, and there in one of as many
+    first = _ends(ordered, plan, coarse)
+    wide = spark.createDataFrame([(s, x, p) for (s, x), (p, _) in first.items()], "source string, language string, _part int")
+    for leaf, (_, before) in first.items():
+        plan[leaf][-1] = before
+    last = _ends(ordered.join(F.broadcast(wide), ["source", "language"]).filter(coarse == F.col("_part")), plan, fine)
+    known = [(s, x, e, rest, *last.get((s, x), (None, 0))) for (s, x), (e, rest, _) in plan.items()]
+    fixed = spark.createDataFrame(known, "source string, language string, epochs long, rest long, _last int, _before long")
+    placed = ordered.withColumn("_fine", fine).join(F.broadcast(fixed), ["source", "language"])
+    # of a leaf's records a millionth or so are put in order one by one
     upto = F.sum("tokens").over(Window.partitionBy("source", "language").orderBy("_order", "record").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cut = inner.withColumn("extra", (F.col("before") + upto <= F.col("rest")).cast("int"))
-    rest = placed.filter("_bucket <> last or last is null").withColumn("extra", F.when(F.col("last").isNull() | (F.col("_bucket") < F.col("last")), 1).otherwise(0))
+    cut = placed.filter("_fine = _last").withColumn("extra", (F.col("_before") + upto <= F.col("rest")).cast("int"))
+    rest = placed.filter("_fine <> _last or _last is null").withColumn("extra", F.when(F.col("_last").isNull() | (F.col("_fine") < F.col("_last")), 1).otherwise(0))
     out = [F.col("record").alias(record), "source", "language", "tokens", (F.col("epochs") + F.col("extra")).cast("int").alias("copies")]
     records = scratch.keep(cut.select(out).unionByName(rest.select(out)).filter("copies > 0"))
     used = records.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("tokens").cast("long") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
-    have = sized.groupBy("source").agg(F.sum("tokens").alias("available_tokens"))
-    goal = spark.createDataFrame([(s, float(w), int(m)) for s, (w, m) in targets.items()], "source string, target_share double, max_repeats int")
-    all_used = Window.partitionBy()
+    have = {s: sum(n for (t, _), n in sizes.items() if t == s) for s in targets}
+    goal = spark.createDataFrame([(s, domain(s), float(w), int(m), have[s]) for s, (w, m) in targets.items()], "source string, domain string, target_share double, max_repeats int, available_tokens long")
+    all_used = Window.partitionBy()  # a row for each target
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     shares = (
-        goal.join(have, "source", "left").join(used, "source", "left")
-        .select("source", "target_share", "max_repeats", zero("available_tokens"), zero("docs"), zero("used_tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))
+        goal.join(F.broadcast(used), "source", "left")
+        .select("source", "domain", "target_share", "max_repeats", "available_tokens", zero("docs"), zero("used_tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))
         .withColumn("actual_share", F.coalesce(F.col("used_tokens") / F.sum("used_tokens").over(all_used), F.lit(0.0)))
     )
-    return Mixture(records, shares, total)
+    nodes = spark.createDataFrame(node_rows(root, total, budgets), "level string, domain string, language string, source string, weight double, wanted double, capacity long, budget double")
+    return Mixture(records, shares, nodes, total)

@@ -114,10 +114,17 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "ids")
 
 
-def _mixture(spark: SparkSession, sf_dir: str) -> Mixture:
+#: the domain of each source: what was said, what describes pictures, what was written
+DOMAINS = {
+    "field_transcripts": "spoken", "radio_talks": "spoken", "community_stories": "spoken", "council_minutes": "spoken", "picture_prompts": "described",
+    "annotator_guides": "written", "session_notes": "written", "quality_memos": "written", "school_readers": "written",
+}
+
+
+def _mixture(spark: SparkSession, sf_dir: str, **settings: float) -> Mixture:
     targets = {r["source"]: (r["target_share"], r["max_repeats"]) for r in table(spark, sf_dir, "mix_targets").collect()}
-    docs = table(spark, sf_dir, "documents")
-    return mix_sources(docs, targets, record="doc_id", text="text", source=source_key("source"), language=language_key("lang"), seed=42)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mix_sources(docs, targets, record="doc_id", text="text", source=source_key("source"), language=language_key("lang"), domains=DOMAINS, seed=42, **settings)
 
 
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +137,11 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir).shares
 
 
+def p8_stretched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budgets of a mixture twice as large as the sources can back in full: by node of the tree what was wanted and what it got after shortages moved."""
+    return _mixture(spark, sf_dir, stretch=2.0).nodes
+
+
 def p9_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reading level of each document."""
     model = train_level_model(table(spark, sf_dir, "level_samples"))
@@ -140,4 +152,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_levels(spark, sf_dir).filter("level_words >= 40 and reading_level >= 4").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p2_found, p2_strata, p4_found, p4_canonical, p5_found, p5_report, p6_found, p6_clusters, p7_ids, p8_mixture, p8_shares, p9_found, p9_levels)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p2_found, p2_strata, p4_found, p4_canonical, p5_found, p5_report, p6_found, p6_clusters, p7_ids, p8_mixture, p8_shares, p8_stretched, p9_found, p9_levels)}

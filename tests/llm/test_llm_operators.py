@@ -315,11 +315,31 @@ def test_fill(kids, budget):
 
 def test_shortage_stays_among_siblings():
     leaf = lambda w, t: mixture.Node(w, t)
-    root = mixture.Node(1, children={"a": mixture.Node(0.5, children={"x": leaf(0.5, 10), "y": leaf(0.5, 90)}), "b": mixture.Node(0.5, children={"z": leaf(1, 100)})})
+    root = mixture.Node(1, children={"a": mixture.Node(0.5, children={"x": leaf(0.25, 10), "y": leaf(0.25, 90)}), "b": mixture.Node(0.5, children={"z": leaf(0.5, 100)})})
     assert mixture.allocate(root, 100) == {("a", "x"): 10, ("a", "y"): 40, ("b", "z"): 50}
     root.children["a"].children["y"].tokens = 20
     assert mixture.allocate(root, 100) == {("a", "x"): 10, ("a", "y"): 20, ("b", "z"): 70}
-    assert mixture.feasible_total(root) == 60
+    assert mixture.feasible_total(root) == 40
+
+
+def test_tree_of_domains_languages_sources():
+    leaves = {("spoken", "sn", "talks"): 100, ("spoken", "en", "talks"): 300, ("spoken", "sn", "tales"): 50, ("written", "en", "notes"): 400}
+    targets = {"talks": (0.5, 1), "tales": (0.25, 2), "notes": (0.25, 1)}
+    root = mixture.weight_tree(leaves, targets)
+    weights = {p: n.weight for p, n in mixture.leaves_of(root)}
+    assert weights == {("spoken", "en", "talks"): 0.375, ("spoken", "sn", "talks"): 0.125, ("spoken", "sn", "tales"): 0.25, ("written", "en", "notes"): 0.25}
+    assert root.children["spoken"].weight == 0.75 and root.children["spoken"].children["sn"].weight == 0.375
+    total = mixture.feasible_total(root)
+    assert total == 400  # all of the tales, twice
+    got = mixture.allocate(root, total)
+    assert got == {p: w * total for p, w in weights.items()}
+    # beyond it tales fall short, and talks of their language take what they can, then the domain's other language, then the other domain
+    got = mixture.allocate(root, 700)
+    assert got["spoken", "sn", "tales"] == 100 and got["spoken", "sn", "talks"] == 100 and got["spoken", "en", "talks"] == 300 and abs(got["written", "en", "notes"] - 200) < 1e-9
+    rows = {r[:4]: r[4:] for r in mixture.node_rows(root, 700, got)}
+    assert rows["language", "spoken", "sn", None][1:] == (262.5, 200, 200.0) and rows["domain", "spoken", None, None][3] == 500 and rows["all", None, None, None][3] == 700
+    equal = mixture.weight_tree(leaves, targets, {"sn": 1.0, "en": 1.0})
+    assert equal.children["spoken"].children["en"].weight == 0.25
 
 
 def test_mixture_edges(spark):

@@ -75,6 +75,21 @@ def test_mixture_keeps_limits_and_shares(spark):
     assert abs(sum(r["actual_share"] for r in shares.values()) - 1) < 1e-9
 
 
+def test_stretched_mixture_moves_shortages(spark):
+    """Every node's budget is within its capacity, children add up to their parent, and a node gets less than wanted only if it is full."""
+    nodes = queries.p8_stretched(spark, DATA).collect()
+    path = lambda r: tuple(x for x in (r["domain"], r["language"], r["source"]) if x is not None)
+    got = {path(r): r for r in nodes}
+    short = 0
+    for p, r in got.items():
+        kids = [q for q in got if len(q) == len(p) + 1 and q[: len(p)] == p]
+        assert r["budget"] <= r["capacity"] + 1e-6 and (not kids or abs(sum(got[q]["budget"] for q in kids) - r["budget"]) < 1e-6)
+        if r["budget"] < r["wanted"] - 1e-6:
+            short += 1
+            assert abs(r["budget"] - r["capacity"]) < 1e-6
+    assert short
+
+
 def test_typical_members(spark):
     sizes = Counter(r["cluster_key"] for r in queries.p6_found(spark, DATA).collect())
     for r in queries.p6_clusters(spark, DATA).collect():
