@@ -2,7 +2,7 @@
 
 A text is compatibility-decomposed, rid of characters that show nothing, and its blanks of all kinds become spaces. Each
 character that has look-alikes then stands for its whole class, which makes a token a lattice of spellings; Viterbi
-search takes the spelling with the best character bigram score, where a change of script costs extra. Bigrams are
+search takes the spelling with the best character bigram score, where a change of script costs extra. Bigrams of the letters themselves are
 counted over all tokens of the corpus. Equal-looking texts have the same lattice, hence the same form; different
 lattices share no spelling, hence have different forms.
 """
@@ -18,11 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.operators.skew import heavy_keys, salted_join
 from clipwright.storage import Scratch
 
 # Letters that can't be told apart in common type faces; the Latin one comes first in each class.
 LOOKALIKES = (
-    "AΑА", "BΒВ", "CϹС", "EΕЕ", "FϜ", "GԌ", "HΗН", "IΙІӀ", "JͿЈ", "KΚК", "MΜМ", "NΝ", "OΟОՕ", "PΡР", "QԚ", "SЅՏ", "TΤТ", "UՍ", "VѴ", "WԜ", "XΧХ", "YΥҮ", "ZΖ",
+    "AΑАᎪꓮ", "BΒВᏴꓐ", "CϹСᏟꓚ", "DꓓᎠ", "EΕЕᎬꓰ", "FϜꓝ", "GԌꓖ", "HΗНᎻꓧ", "IΙІӀꓲ", "JͿЈᎫꓙ", "KΚКᏦꓗ", "LᏞꓡ", "MΜМᎷꓟ", "NΝꓠ", "OΟОՕꓳ", "PΡРᏢꓑ", "QԚ", "RᏒꓣ", "SЅՏᏚꓢ", "TΤТᎢꓔ", "UՍꓴ", "VѴᏙꓦ",
+    "WԜᎳꓪ", "XΧХꓫ", "YΥҮꓬ", "ZΖᏃꓜ",
     "aа", "cϲс", "dԁ", "eе", "gɡց", "hһհ", "iі", "jϳј", "lӏ", "nո", "oοоօ", "pρр", "qԛզ", "sѕ", "uս", "vνѵ", "wԝ", "xх", "yуү",
     "-‐‒−⁃",
 )
@@ -34,6 +36,7 @@ SHOWS_NOTHING = frozenset([0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA
 # Format characters that can be seen
 SEEN_FORMATS = frozenset([*range(0x0600, 0x0606), 0x06DD, 0x070F, 0x0890, 0x0891, 0x08E2, 0x110BD, 0x110CD])
 BLANKS = frozenset("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+ALPHABETS_END = "\u0590"  # after Latin, Greek, Cyrillic and Armenian
 CACHE = 500_000
 SCRIPT_CHANGE = 8.0
 EDGE = "\0"
@@ -78,8 +81,8 @@ def script(c: str) -> str:
 
 
 def kind(c: str) -> str:
-    """The model's symbol: a look-alike itself, any other character by its script. So there are at most some 150 letters and as many scripts."""
-    return c if c in CLASS else "*" + script(c)
+    """The model's symbol: letters and signs of the alphabets that share look-alikes, and look-alikes, stand for themselves, a character of another script for that script. So the alphabet is bounded: some 1,400 symbols."""
+    return c if c < ALPHABETS_END or c in CLASS else "*" + script(c)
 
 
 def token_bigrams(tokens: Iterable[str]) -> Counter:
@@ -201,22 +204,32 @@ def canonical_text(df: DataFrame, text: str, into: str = "canonical", *, counts:
     return df.withColumn(into, F.pandas_udf(apply, "string").asNondeterministic()(F.col(text)))  # type: ignore[call-overload]
 
 
+def lookalike_classes(df: DataFrame, text: str, record: str, *, scratch: Scratch | None = None) -> DataFrame:
+    """(record, t, form): membership of records in classes of equal look: digests of 128 bits of the text and of its canonical form, a written table.
+
+    Null records, null texts and texts that show nothing are in no class. So copies of a text and pairs of a large class need not be written out.
+    """
+    scratch = scratch or Scratch(df.sparkSession, "lookalike")
+    slim = df.select(F.col(record).alias("record"), F.col(text).alias("text")).filter("text is not null and record is not null")
+    # digests stand for texts and forms, so no text is shuffled
+    return scratch.keep(canonical_text(slim, "text", "form").filter("form <> ''").select("record", F.unhex(F.md5("text")).alias("t"), F.unhex(F.md5("form")).alias("form")))
+
+
 def lookalike_pairs(df: DataFrame, text: str, record: str) -> DataFrame:
     """(row_id_a, row_id_b): records, the smaller first, whose texts are different strings with the same, non-empty canonical form.
 
     Each different text of a canonical form is joined once with the others of its form, and only the found pairs are spread to
-    their records, so copies of one text make no work beyond the result. Null ``record`` values are ignored.
+    their records, so copies of one text make no work beyond the result. Forms with very many texts and texts with very many copies are spread over tasks.
+    Null ``record`` values are ignored.
     """
     scratch = Scratch(df.sparkSession, "lookalike")
-    slim = df.select(F.col(record).alias("r"), F.col(text).alias("text")).filter("text is not null and r is not null")
-    # digests of 128 bits stand for texts and forms, so no text is shuffled
-    forms = canonical_text(slim, "text", "form").filter("form <> ''").select("r", F.unhex(F.md5("text")).alias("t"), F.unhex(F.md5("form")).alias("form"))
-    rows = scratch.keep(forms)
-    texts = rows.groupBy("form", "t").agg(F.count(F.lit(1)).alias("n"))
-    many = texts.groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
-    several = scratch.keep(texts.join(many, "form", "left_semi").select("form", "t"))
-    twins = several.alias("x").join(several.alias("y"), "form").filter("x.t < y.t").select(F.col("x.t").alias("t"), F.col("y.t").alias("u"))
-    few = scratch.keep(rows.join(several.select("t").distinct(), "t", "left_semi").select("r", "t"))
-    a = twins.join(few.select("t", F.col("r").alias("a")), "t")
-    both = a.join(few.select(F.col("t").alias("u"), F.col("r").alias("b")), "u").filter("a <> b")
+    rows = lookalike_classes(df, text, record, scratch=scratch)
+    texts = rows.groupBy("form", "t").agg(F.lit(1).alias("one"))
+    several = scratch.keep(texts.groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form"))
+    variants = scratch.keep(salted_join(rows.select("form", "t"), several, "form", heavy=heavy_keys(rows, "form"), how="left_semi").distinct())
+    twins = salted_join(variants, variants.withColumnRenamed("t", "u"), "form", heavy=heavy_keys(variants, "form")).filter("t < u").select("t", "u")
+    heavy = heavy_keys(rows, "t")
+    few = scratch.keep(salted_join(rows.select("record", "t"), variants.select("t").distinct(), "t", heavy=heavy, how="left_semi"))
+    a = salted_join(few.withColumnRenamed("record", "a"), twins, "t", heavy=heavy)
+    both = salted_join(a.select("a", "u"), few.select(F.col("t").alias("u"), F.col("record").alias("b")), "u", heavy=heavy).filter("a <> b")
     return both.select(F.least("a", "b").alias("row_id_a"), F.greatest("a", "b").alias("row_id_b")).distinct()
