@@ -1,9 +1,10 @@
 """Reading level of each document.
 
-Interpolated character n-gram models with a word level on top are trained on samples of known level, one on the easy and one
-on the hard ones. A document's words get their surprisal under both, over the whole text, window by window; the mean
-over a window's different words of the difference is a score that topic words repeated often don't move. Isotonic
-regression maps scores to levels. The scores it learns from come from models that did not see their sample.
+Two interpolated character n-gram models with a word level on top are trained on samples of known level. Each sample counts in both: in the easy
+one by how far its level lies below the hardest, in the hard one by how far above the easiest, so no level is a border. A document's words get their surprisal under
+both; repeated words count once in each window, so that topic words don't move the result. The distribution of the differences over the
+whole document gives a score, the mean of its quantiles without the outermost ones. Isotonic regression maps scores to levels. The scores it
+learns from come from models that did not see their sample.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 ORDER = 5
 WINDOW = 150
-HARD_FROM = 4
+QUANTILES = np.linspace(0.05, 0.95, 19)
+QUARTILES = np.asarray([0.25, 0.5, 0.75])
+POWER = 2.0
 MOST_SAMPLES = 20_000
 CACHE = 300_000
 START, END = "^", "$"
@@ -38,12 +41,16 @@ def words_of(text: str) -> list[str]:
 
 
 class NGrams:
-    """Witten-Bell interpolated character n-grams of words, interpolated with word frequencies."""
+    """Witten-Bell interpolated character n-grams of words, interpolated with word frequencies. Texts may have weights; those of weight 0 don't count at all."""
 
-    def __init__(self, texts: Sequence[Sequence[str]], order: int = ORDER) -> None:
+    def __init__(self, texts: Sequence[Sequence[str]], order: int = ORDER, weights: Sequence[float] | None = None) -> None:
         self.order = order
         grams: dict[str, Counter] = defaultdict(Counter)
-        self.words: Counter = Counter(w for t in texts for w in t)
+        self.words: Counter = Counter()
+        for t, weight in zip(texts, weights if weights is not None else [1.0] * len(texts), strict=True):
+            if weight > 0:
+                for w in t:
+                    self.words[w] += weight
         for w, n in self.words.items():
             s = START * (order - 1) + w + END
             for i in range(order - 1, len(s)):
@@ -89,56 +96,70 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(xs), np.asarray(ys)
 
 
+def at_quantiles(values: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Interpolated quantiles of at least one value."""
+    v = np.sort(values)
+    at = q * (len(v) - 1)
+    low = at.astype(np.int64)
+    high = np.minimum(low + 1, len(v) - 1)
+    return v[low] + (v[high] - v[low]) * (at - low)
+
+
+class _WordBits(dict):
+    """Word → (surprisal under the easy model, that less the one under the hard model), found once for each word met."""
+
+    def __init__(self, easy: NGrams, hard: NGrams) -> None:
+        super().__init__()
+        self.easy, self.hard = easy, hard
+
+    def __missing__(self, word: str) -> tuple[float, float]:
+        e = self.easy.surprisal(word)
+        found = self[word] = (e, e - self.hard.surprisal(word))
+        return found
+
+    def __reduce__(self) -> tuple:
+        return _WordBits, (self.easy, self.hard)
+
+
 class LevelModel:
-    """Scores words, windows and documents, and maps scores to levels."""
+    """Scores documents by the surprisal of their words, and maps scores to levels."""
 
-    def __init__(self, texts: Sequence[str], levels: Sequence[int], *, hard_from: int = HARD_FROM, folds: int = 5, window: int = WINDOW) -> None:
+    def __init__(self, texts: Sequence[str], levels: Sequence[int], *, folds: int = 5, window: int = WINDOW, power: float = POWER) -> None:
         if not texts:
             raise ValueError("no samples to learn from")
         words, self.levels = [words_of(t) for t in texts], np.asarray(levels, dtype=float)
-        self.window, self.hard_from = window, hard_from
+        self.window, self.power = window, power
         scores = np.zeros(len(words))
         ordered = np.lexsort((np.arange(len(words)), self.levels))
         fold = np.empty(len(words), int)
         fold[ordered] = np.arange(len(words)) % folds
-        for k in range(folds if len(words) >= 2 * folds else 0):
+        held = len(words) >= 2 * folds
+        for k in range(folds if held else 0):
             self._fit([w for w, f in zip(words, fold, strict=True) if f != k], self.levels[fold != k])
             for i in np.flatnonzero(fold == k):
                 scores[i] = self.score(words[i])[0]
         self._fit(words, self.levels)
-        if len(words) < 2 * folds:
+        if not held:
             scores = np.asarray([self.score(w)[0] for w in words])
         self.held_out = scores
         self.xs, self.ys = isotonic(scores, self.levels)
 
     def _fit(self, words: Sequence[Sequence[str]], levels: np.ndarray) -> None:
-        self.easy = NGrams([w for w, y in zip(words, levels, strict=True) if y < self.hard_from])
-        self.hard = NGrams([w for w, y in zip(words, levels, strict=True) if y >= self.hard_from])
-        self.cache: dict[str, tuple[float, float]] = {}
-
-    def word(self, w: str) -> tuple[float, float]:
-        """(surprisal under the easy model, that less the one under the hard model)."""
-        found = self.cache.get(w)
-        if found is None:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            e = self.easy.surprisal(w)
-            found = self.cache[w] = (e, e - self.hard.surprisal(w))
-        return found
+        low, high = float(levels.min()), float(levels.max())
+        up = (levels - low) / (high - low) if high > low else np.full(len(levels), 0.5)
+        self.bits = _WordBits(NGrams(words, weights=((1 - up) ** self.power).tolist()), NGrams(words, weights=(up**self.power).tolist()))
 
-    def score(self, words: Sequence[str]) -> tuple[float, list[float]]:
-        """Mean difference over the windows' different words, by window length; and the surprisals of all words."""
-        bits, total = [], 0.0
+    def score(self, words: Sequence[str]) -> tuple[float, np.ndarray]:
+        """(score, quartiles of the words' bits): from all windows' different words."""
         if not words:
-            return 0.0, bits
+            return 0.0, np.zeros(len(QUARTILES))
+        if len(self.bits) > CACHE:
+            self.bits.clear()
         pieces = max(1, round(len(words) / self.window))
         size = math.ceil(len(words) / pieces)
-        for lo in range(0, len(words), size):
-            part = words[lo : lo + size]
-            kinds = set(part)
-            total += len(part) * sum(self.word(w)[1] for w in sorted(kinds)) / len(kinds)
-        bits = [self.word(w)[0] for w in words]
-        return total / len(words), bits
+        known = self.bits.__getitem__
+        found = np.asarray([x for lo in range(0, len(words), size) for x in map(known, set(words[lo : lo + size]))])
+        return float(at_quantiles(found[:, 1], QUANTILES).mean()), at_quantiles(found[:, 0], QUARTILES)
 
     def level(self, score: float) -> float:
         return float(np.interp(score, self.xs, self.ys))
@@ -152,7 +173,7 @@ def train_level_model(samples: DataFrame, *, text: str = "text", level: str = "l
 
 
 def reading_levels(df: DataFrame, model: LevelModel, *, text: str = "text") -> DataFrame:
-    """``df`` with level_words (words at white space), level_score, level_value (1 to 5, not rounded), reading_level (the nearest whole) and surprisal_q (quartiles of the words' bits).
+    """``df`` with level_words (words at white space), level_score, level_value (1 to 5, not rounded), reading_level (the nearest whole) and surprisal_q (quartiles of the bits of the windows' different words).
 
     Null texts and texts without letters have nulls but for level_words, which is 0 for null and empty ones. Whole texts are scored. Rows come out
     once each, repeated rows alike; an empty table gives no rows. Existing columns with these names are replaced. The model, bounded by its samples, is broadcast.
@@ -170,7 +191,7 @@ def reading_levels(df: DataFrame, model: LevelModel, *, text: str = "text") -> D
                     out.append((len(t.split()) if t else 0, None, None, None))
                     continue
                 score, bits = m.score(words)
-                out.append((len(t.split()), score, m.level(score), np.quantile(bits, [0.25, 0.5, 0.75]).tolist()))
+                out.append((len(t.split()), score, m.level(score), bits.tolist()))
             yield pd.DataFrame(out, columns=["level_words", "level_score", "level_value", "surprisal_q"]).astype({"level_words": "int32", "level_score": "float64", "level_value": "float64"})
 
     rated = df.withColumn("_level", F.pandas_udf(run, schema)(F.col(text)))  # type: ignore[call-overload]

@@ -113,6 +113,23 @@ def test_canonical_is_stable(text):
 def test_script_consistent_spelling():
     model = lookalike.Model(dict(lookalike.token_bigrams(["cope", "hope", "pace"] * 9 + ["сорока", "рука"] * 9)))
     assert model.canonical("сopе") == "cope" and model.canonical("pукa") == "рука"
+    assert model.canonical("ᎪᏴ") == model.canonical("AB") == model.canonical("ꓮꓐ")
+
+
+def test_spelling_follows_neighbouring_letters():
+    """A token of look-alikes only takes the script whose bigrams the corpus has; beside other letters theirs."""
+    latin = lookalike.Model(dict(lookalike.token_bigrams(["cap", "pace", "trace", "cart"] * 9)))
+    cyrillic = lookalike.Model(dict(lookalike.token_bigrams(["сор", "роса", "хор"] * 9)))
+    assert latin.canonical("сар") == "cap" and cyrillic.canonical("pоca") == "роса"
+    assert lookalike.kind("t") == "t" and lookalike.kind("т") == "т" and lookalike.kind("日") == "*CJK"
+
+
+def test_lookalike_classes_of_hot_texts(spark):
+    """A third of the rows hold one text, and as many its look-alike: the pairs are those of the two texts, whatever the copies."""
+    rows = [(i, "same") for i in range(60)] + [(100 + i, "sаme") for i in range(50)] + [(200 + i, f"own {i}") for i in range(60)] + [(0, "same"), (None, "same")]
+    df = spark.createDataFrame(rows, "r long, t string")
+    assert lookalike.lookalike_pairs(df, "t", "r").count() == 60 * 50
+    assert lookalike.lookalike_classes(df, "t", "r").select("form").distinct().count() == 61
 
 
 def test_canonical_edges(spark):
@@ -373,6 +390,15 @@ def test_isotonic_equals_brute_force():
 def test_ngram_probabilities_add_up():
     m = level.NGrams([["aba", "ab", "b"]], order=3)
     assert m.surprisal("ab") < m.surprisal("ba") < m.surprisal("zzzz")
+    weighted = level.NGrams([["aba"], ["ab"], ["zz"]], order=3, weights=[1.0, 0.5, 0.0])
+    assert "zz" not in weighted.words and weighted.surprisal("aba") < weighted.surprisal("ab") < weighted.surprisal("zz")
+
+
+def test_quantiles():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 7, 40):
+        v = rng.normal(size=n)
+        assert np.allclose(level.at_quantiles(v, level.QUANTILES), np.quantile(v, level.QUANTILES))
 
 
 def test_level_edges(spark):
