@@ -1,46 +1,81 @@
-"""Density clustering of embeddings (HDBSCAN) within gender partitions.
+"""Density clustering of embeddings (HDBSCAN) within partitions of any size.
 
-Hierarchical density clustering needs all points of a partition at once. Partitions up to ``limit`` points are clustered whole, each in one
-task; the caller is told of larger ones. For those, ``llm`` has clustering that scales, and ``vectors.rescue`` takes
-further rows to clusters found on a part.
+The costly part, the minimum spanning tree under mutual reachability, is built in blocks: every two blocks of a partition meet in a task, which
+gives the tree of their rows. The tree of the whole partition lies within the union of these, as an edge that is too long for
+a tree of some of the rows is too long for the tree of all. Trees are merged in groups until one is left. Only this tree (a row of two numbers and a distance for
+each record, no vectors) is read in one task, which cuts it into clusters.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipwright.operators.metadata import dense_numbers
+from clipwright.storage import Scratch
+
 MIN_CLUSTER, MIN_SAMPLES = 50, 10
-LIMIT = 50_000
+BLOCK = 2048
+MERGED = 8
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T, 0))
 
 
 def core_distances(x: np.ndarray, k: int) -> np.ndarray:
     """Distance to the k-th nearest point, the point itself counting as the first."""
     out = np.empty(len(x))
-    sq = (x * x).sum(1)
+    at = min(k, len(x)) - 1
     for lo in range(0, len(x), 512):
-        d = np.maximum(sq[lo : lo + 512, None] + sq[None] - 2 * x[lo : lo + 512] @ x.T, 0)
-        out[lo : lo + 512] = np.sqrt(np.partition(d, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1])
+        d = distances(x[lo : lo + 512], x)
+        d[np.arange(len(d)), np.arange(lo, lo + len(d))] = 0.0
+        out[lo : lo + 512] = np.partition(d, at, axis=1)[:, at]
     return out
 
 
 def spanning_tree(x: np.ndarray, core: np.ndarray) -> np.ndarray:
-    """Prim's minimum spanning tree under mutual reachability; rows (a, b, distance) by distance. Memory follows the points, not their pairs."""
+    """Prim's minimum spanning tree under mutual reachability; rows (a, b, distance) by distance."""
     n = len(x)
-    best, source, done = np.full(n, np.inf), np.zeros(n, int), np.zeros(n, bool)
-    edges, at = [], 0
-    for _ in range(n - 1):
-        done[at] = True
-        d = np.maximum(np.maximum(np.sqrt(np.maximum(((x - x[at]) ** 2).sum(1), 0)), core), core[at])
-        closer = ~done & (d < best)
-        best[closer], source[closer] = d[closer], at
-        nxt = int(np.where(done, np.inf, best).argmin())
-        edges.append((source[nxt], nxt, best[nxt]))
-        at = nxt
-    out = np.asarray(edges, dtype=float).reshape(-1, 3)
-    return out[np.argsort(out[:, 2], kind="stable")]
+    reach = np.maximum(np.maximum(distances(x, x), core[:, None]), core[None])
+    best, source = reach[0].copy(), np.zeros(n, np.int64)
+    best[0] = np.inf
+    inside = np.zeros(n, bool)
+    inside[0] = True
+    edges = np.empty((max(n - 1, 0), 3))
+    for step in range(n - 1):
+        nxt = int(best.argmin())
+        edges[step] = source[nxt], nxt, best[nxt]
+        inside[nxt] = True
+        closer = reach[nxt] < best
+        closer &= ~inside
+        best[closer], source[closer] = reach[nxt][closer], nxt
+        best[nxt] = np.inf
+    return edges[np.argsort(edges[:, 2], kind="stable")]
+
+
+def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which of the edges make a minimum spanning forest (Kruskal); ties by a, then b."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(len(nodes)))
+    ends = flat.reshape(2, -1).T.tolist()
+    keep = []
+    for e in np.lexsort((b, a, d)).tolist():
+        p, q = ends[e]
+        while parent[p] != p:
+            parent[p] = parent[parent[p]]
+            p = parent[p]
+        while parent[q] != q:
+            parent[q] = parent[parent[q]]
+            q = parent[q]
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            keep.append(e)
+    return np.asarray(keep, np.int64)
 
 
 def condensed(tree: np.ndarray, n: int, least: int) -> list[tuple[int, int, float, int]]:
@@ -93,13 +128,17 @@ def condensed(tree: np.ndarray, n: int, least: int) -> list[tuple[int, int, floa
 
 
 def hdbscan(x: np.ndarray, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, probabilities) of points that fit one machine."""
+    x = np.asarray(x, dtype=np.float64)
+    return cut_tree(spanning_tree(x, core_distances(x, samples)) if len(x) > 1 else np.zeros((0, 3)), len(x), least)
+
+
+def cut_tree(tree: np.ndarray, n: int, least: int = MIN_CLUSTER) -> tuple[np.ndarray, np.ndarray]:
     """(labels, probabilities) by excess of mass; -1 is noise. Fewer than ``least`` points are all noise. The whole set is never one cluster."""
-    n = len(x)
     labels, strength = np.full(n, -1), np.zeros(n)
     if n < max(least, 2):
         return labels, strength
-    x = np.asarray(x, dtype=np.float64)
-    rows = condensed(spanning_tree(x, core_distances(x, samples)), n, least)
+    rows = condensed(tree, n, least)
     born = {n: 0.0} | {c: lam for _, c, lam, _ in rows if c >= n}
     finite = max([lam for *_, lam, _ in rows if np.isfinite(lam)], default=1.0)
     stability, kids, points = dict.fromkeys(born, 0.0), {c: [] for c in born}, {c: [] for c in born}
@@ -133,16 +172,88 @@ def hdbscan(x: np.ndarray, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES)
     return labels, strength
 
 
-def cluster_partitions(df: DataFrame, *, record: str, vector: str, partition: str, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES, limit: int = LIMIT) -> DataFrame:
-    """(record, partition, raw_label, cluster_confidence) of each row, clustered within its partition; raises if one has more than ``limit`` rows."""
-    rows = df.select(F.col(record).alias("record"), F.col(partition).alias("partition"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null and partition is not null")
-    if too_many := rows.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).take(1):
-        raise ValueError(f"partition {too_many[0]['partition']} has {too_many[0]['n']} rows, more than {limit}")
+def cluster_partitions(df: DataFrame, *, record: str, vector: str, partition: str, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES, block: int = BLOCK) -> DataFrame:
+    """(record, partition, raw_label, cluster_confidence) of each row with a vector and a partition, clustered within its partition.
+
+    Tasks hold two blocks of at most some ``block`` rows each; how rows are dealt to blocks doesn't change the tree's distances. Labels are numbers within a
+    partition, -1 for noise. An empty table gives no rows; repeated rows are points of their own.
+    """
+    scratch = Scratch(df.sparkSession, "density")
+    rows = df.select(F.col(record).alias("record"), F.col(partition).cast("string").alias("partition"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null and partition is not null")
+    # numbers in order of partition and record, fixed by the written table
+    points = scratch.keep(dense_numbers(rows, [F.asc("partition"), F.asc("record"), F.asc("v")], "i").withColumn("i", F.col("i").cast("long")))
+    blocks = points.groupBy("partition").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    widest = blocks.agg(F.coalesce(F.max("blocks"), F.lit(0))).first()[0]
+    placed = points.drop("record").join(blocks, "partition").withColumn("own", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int"))
+
+    def in_pairs(table: DataFrame) -> DataFrame:
+        """Each row for each other block: with one block it meets itself."""
+        other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: (o != F.col("own")) | (F.col("blocks") == 1)))
+        each = table.withColumn("other", other)
+        return each.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
+
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The smallest distances of each row to the rows of the other block; those to its own block come with the next one's task only."""
+        x, own, lo = np.stack(pdf["v"].to_numpy()), pdf["own"].to_numpy(), int(pdf["lo"].iloc[0])
+        hi = int(pdf["hi"].iloc[0])
+        first, second = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        out: list[np.ndarray] = [np.zeros(0)] * len(x)
+
+        def take(mine: np.ndarray, theirs: np.ndarray) -> None:
+            if len(theirs):
+                d = distances(x[mine], x[theirs])
+                if mine is theirs:
+                    np.fill_diagonal(d, 0.0)
+                small = np.partition(d, min(samples, len(theirs)) - 1, axis=1)[:, :samples]
+                for r, i in enumerate(mine):
+                    out[i] = np.concatenate([out[i], small[r]])
+
+        if lo == hi:
+            take(first, first)
+        else:
+            take(first, second), take(second, first)
+            # a block's distances within itself are given once, by its task with the next block (the last one's with the first)
+            if hi == lo + 1:
+                take(first, first)
+            if lo == 0 and hi == int(pdf["last"].iloc[0]):
+                take(second, second)
+        return pd.DataFrame({"i": pdf["i"], "near": out})
+
+    met = in_pairs(placed.withColumn("last", F.col("blocks") - 1))
+    near = met.groupBy("partition", "lo", "hi").applyInPandas(nearest, "i long, near array<double>")
+    # of each row come ``samples`` distances from each block
+    kept = F.array_sort(F.flatten(F.collect_list("near")))
+    core = scratch.keep(near.groupBy("i").agg(kept.alias("near")).select("i", F.element_at("near", F.least(F.lit(samples), F.size("near"))).alias("core")))
+
+    def block_tree(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        ids = pdf["i"].to_numpy()
+        tree = spanning_tree(np.stack(pdf["v"].to_numpy()), pdf["core"].to_numpy())
+        a, b = ids[tree[:, 0].astype(np.int64)], ids[tree[:, 1].astype(np.int64)]
+        return pd.DataFrame({"partition": pdf["partition"].iloc[0], "lo": pdf["lo"].iloc[0], "hi": pdf["hi"].iloc[0], "a": np.minimum(a, b), "b": np.maximum(a, b), "d": tree[:, 2]})
+
+    schema = "partition string, lo int, hi int, a long, b long, d double"
+    edges = scratch.keep(in_pairs(placed.join(core, "i")).groupBy("partition", "lo", "hi").applyInPandas(block_tree, schema))
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.iloc[forest(pdf["a"].to_numpy(), pdf["b"].to_numpy(), pdf["d"].to_numpy())]
+
+    while widest > 1:
+        widest = math.ceil(widest / MERGED)
+        grouped = edges.withColumn("lo", F.floor(F.col("lo") / MERGED).cast("int")).withColumn("hi", F.floor(F.col("hi") / MERGED).cast("int"))
+        merged = scratch.keep(grouped.groupBy("partition", "lo", "hi").applyInPandas(merge, schema))
+        scratch.free(edges)
+        edges = merged
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("record")
-        labels, strength = hdbscan(np.stack(pdf["v"].to_numpy()), least, samples)
-        return pd.DataFrame({"record": pdf["record"], "partition": pdf["partition"], "raw_label": labels.astype(np.int32), "cluster_confidence": strength})
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["d", "a", "b"])
+        ids, flat = np.unique(np.concatenate([pdf["a"].to_numpy(), pdf["b"].to_numpy()]), return_inverse=True)
+        ends = flat.reshape(2, -1)
+        labels, strength = cut_tree(np.column_stack([ends[0], ends[1], pdf["d"].to_numpy()]), len(ids), least)
+        return pd.DataFrame({"i": ids, "raw_label": labels.astype(np.int32), "cluster_confidence": strength})
 
-    kind = rows.schema["record"].dataType.simpleString()
-    return rows.groupBy("partition").applyInPandas(run, f"record {kind}, partition string, raw_label int, cluster_confidence double").withColumnRenamed("record", record)
+    found = edges.groupBy("partition").applyInPandas(label, "i long, raw_label int, cluster_confidence double")
+    # a partition of one row has no edge
+    out = points.select("i", "record", "partition").join(found, "i", "left")
+    out = out.select("record", "partition", F.coalesce("raw_label", F.lit(-1)).alias("raw_label"), F.coalesce("cluster_confidence", F.lit(0.0)).alias("cluster_confidence"))
+    return out.withColumnRenamed("record", record)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clipwright.functions.audio import clean_audio
 from clipwright.functions.text import with_normalized_transcript
 from clipwright.operators.cleanup import cleanup, cleanup_audit, deny, drop_noise
-from clipwright.operators.density import LIMIT, MIN_CLUSTER, MIN_SAMPLES, cluster_partitions
+from clipwright.operators.density import MIN_CLUSTER, MIN_SAMPLES, cluster_partitions
 from clipwright.operators.lookups import last_of, relabel
 from clipwright.operators.metadata import add_clip_count, add_speaker_index, dense_numbers, normalize_metadata, union_splits
 from clipwright.operators.profile import metric_stats
@@ -59,11 +59,11 @@ def audit(clips: DataFrame) -> DataFrame:
     return metric_stats(clips, ("snr_db", "speech_ratio", "quality_score", "duration"))
 
 
-def regroup_speakers(voices: DataFrame, *, dims: int, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES, accept: float = 0.75, limit: int = LIMIT) -> DataFrame:
+def regroup_speakers(voices: DataFrame, *, dims: int, least: int = MIN_CLUSTER, samples: int = MIN_SAMPLES, accept: float = 0.75) -> DataFrame:
     """Voices with new cluster_id, cluster_confidence and noise_rescued: density clusters by predicted gender, numbered by size, then noise taken in by the nearest centroid."""
     ok = voices.filter(F.coalesce("embedding_ok", F.lit(True)) & F.col("embedding").isNotNull())
     sexed = ok.filter(F.col("gender_predicted").isin("Female", "Male"))
-    raw = cluster_partitions(sexed, record="source_id", vector="embedding", partition="gender_predicted", least=least, samples=samples, limit=limit)
+    raw = cluster_partitions(sexed, record="source_id", vector="embedding", partition="gender_predicted", least=least, samples=samples)
     ids = renumber_clusters(raw, "partition", "raw_label").select("partition", "raw_label", "cluster_id")
     known = raw.join(ids, ["partition", "raw_label"], "left").select("source_id", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"), "cluster_confidence")
     base = voices.drop("cluster_id", "cluster_confidence", "noise_rescued").join(known, "source_id", "left").na.fill({"cluster_id": -1, "cluster_confidence": 0.0})

@@ -165,6 +165,24 @@ def test_hdbscan_finds_blobs_and_noise():
     assert density.core_distances(np.asarray([[0.0], [1.0], [3.0]]), 2).tolist() == [1.0, 1.0, 2.0]
 
 
+@pytest.mark.parametrize("block", [2048, 60, 17])
+def test_density_in_blocks_equals_the_whole(spark, block):
+    rng = np.random.default_rng(3)
+    parts = {g: np.concatenate([rng.normal(c, 0.06, (50, 3)) for c in (0, 2, 4)] + [rng.uniform(-9, 9, (12, 3))]) + k for k, g in enumerate(("F", "M"))}
+    rows = [(i, g, [float(v) for v in p]) for g, x in parts.items() for i, p in enumerate(x)] + [(999, "one", [0.0, 0.0, 0.0]), (1000, None, [1.0, 1.0, 1.0]), (1001, "F", None)]
+    df = spark.createDataFrame(rows, "i int, g string, v array<double>")
+    got = density.cluster_partitions(df, record="i", vector="v", partition="g", least=15, samples=4, block=block).collect()
+    assert len(got) == len(rows) - 2
+    for g, x in parts.items():
+        labels, strength = density.hdbscan(x, 15, 4)
+        mine = {r["i"]: r for r in got if r["partition"] == g}
+        pairs = {(int(labels[i]), mine[i]["raw_label"]) for i in range(len(x))}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) and {a for a, b in pairs if b == -1} <= {-1}
+        assert np.allclose([mine[i]["cluster_confidence"] for i in range(len(x))], strength)
+    assert [r["raw_label"] for r in got if r["partition"] == "one"] == [-1]
+    assert density.cluster_partitions(df.limit(0), record="i", vector="v", partition="g").count() == 0
+
+
 def test_logistic_regression(spark):
     rng = np.random.default_rng(2)
     data = [(i, [float(a) for a in rng.normal(1 if i % 2 else -1, 1, 3)], "Male" if i % 2 else "Female") for i in range(80)]
