@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 RATE, VAD_RATE, FRAME_MS = 24_000, 16_000, 30
 FRAME = RATE * FRAME_MS // 1000
@@ -139,26 +140,33 @@ def metrics(x: np.ndarray, mask: np.ndarray) -> tuple[float, float, float, float
     return snr - penalty, snr, ratio, n * FRAME / RATE
 
 
+def speech_span(mask: np.ndarray, samples: int) -> tuple[slice, slice] | None:
+    """(samples, frames) from the first to the last speech frame, widened by ``BUFFER_SECONDS`` and held inside the clip; None without speech.
+
+    The sample span begins between frames, as the buffer isn't a whole number of them; the frame span holds every frame it touches.
+    """
+    if not mask.any():
+        return None
+    buffer = round(BUFFER_SECONDS * RATE)
+    begin = max(0, int(mask.argmax()) * FRAME - buffer)
+    end = min(samples, (len(mask) - int(mask[::-1].argmax())) * FRAME + buffer)
+    return slice(begin, end), slice(begin // FRAME, min(len(mask), end // FRAME + 1))
+
+
 def clean_clip(samples: np.ndarray, rate: int, vad: Callable[[np.ndarray, int], np.ndarray] = energy_vad) -> tuple[np.ndarray | None, dict | None, str | None]:
-    """(audio at 24 kHz, metrics, None) or (None, None, drop reason)."""
-    x = whole_frames(resample(to_mono(samples), rate, RATE))
-    if len(x) < FRAME:
-        return None, None, "empty_after_trim"
-    mask = vad_mask(x, vad)
-    at = np.flatnonzero(mask)
-    if not len(at):
-        return None, None, "no_speech_detected"
-    seconds = FRAME_MS / 1000
-    start, end = max(0.0, at[0] * seconds - BUFFER_SECONDS), min(len(x) / RATE, (at[-1] + 1) * seconds + BUFFER_SECONDS)
-    # the mask starts at a whole frame, the audio at a sample: they may lie less than a frame apart
-    part = x[int(start * RATE) : int(end * RATE)]
-    y = whole_frames(trim_gaps(part, mask[int(start / seconds) : min(len(mask), int(end / seconds) + 1)]))
-    if len(y) < FRAME:
+    """(audio at 24 kHz, metrics, None) or (None, None, drop reason): edges cut to the speech, long gaps shortened, then measured."""
+    audio = whole_frames(resample(to_mono(samples), rate, RATE))
+    if not len(audio):
         return None, None, "empty_after_trim"
-    found = metrics(y, vad_mask(y, vad))
-    if found is None:
+    mask = vad_mask(audio, vad)
+    span = speech_span(mask, len(audio))
+    if span is None:
         return None, None, "no_speech_detected"
-    return y, dict(zip(("quality_score", "snr_db", "speech_ratio", "duration"), found, strict=True)), None
+    audio = whole_frames(trim_gaps(audio[span[0]], mask[span[1]]))
+    measured = metrics(audio, vad_mask(audio, vad)) if len(audio) else None
+    if measured is None:
+        return None, None, "no_speech_detected" if len(audio) else "empty_after_trim"
+    return audio, dict(zip(("quality_score", "snr_db", "speech_ratio", "duration"), measured, strict=True)), None
 
 
 def amp_to_db(x: float, floor: float = 1e-8) -> float:
@@ -218,6 +226,11 @@ def loudness(x: np.ndarray, rate: int) -> float | None:
     return float(-0.691 + 10 * np.log10(z2.mean())) if len(z2) else None
 
 
+def apply_gain(x: np.ndarray, db: float) -> np.ndarray:
+    """Louder or softer by ``db``, limited to -1..1."""
+    return np.clip(np.asarray(x, dtype=np.float64) * 10 ** (db / 20), -1, 1).astype(np.float32)
+
+
 def normalize_loudness(x: np.ndarray, rate: int, target: float = TARGET_LUFS, tolerance: float = TOLERANCE_LU) -> tuple[np.ndarray, str, float | None, float | None]:
     """(audio, status, loudness before, gain): unchanged if unmeasurable or within ``tolerance``."""
     level = loudness(x, rate)
@@ -226,7 +239,7 @@ def normalize_loudness(x: np.ndarray, rate: int, target: float = TARGET_LUFS, to
     gain = target - level
     if abs(gain) <= tolerance:
         return x, "skipped_within_tolerance", level, gain
-    return np.clip(x * 10 ** (gain / 20), -1, 1).astype(np.float32), "normalized", level, gain
+    return apply_gain(x, gain), "normalized", level, gain
 
 
 def loudness_status(level: Column, target: float = TARGET_LUFS, tolerance: float = TOLERANCE_LU) -> Column:
@@ -235,27 +248,34 @@ def loudness_status(level: Column, target: float = TARGET_LUFS, tolerance: float
     return F.when(bad, "failed_loudness_measurement").when(F.abs(F.lit(target) - level) <= tolerance, "skipped_within_tolerance").otherwise("normalized")
 
 
-def pop_features(x: np.ndarray, rate: int, **settings: float) -> dict:
-    """Peak of the head, its place, and its height over what follows."""
-    p = POP | settings
-    n = {k: int(round(v * rate / 1000)) for k, v in p.items() if k.endswith("_ms")}
-    if len(x) < max(n["peak_window_ms"], n["follow_end_ms"], n["decay_late_end_ms"]):
-        return {"status": "failed_too_short", "peak_start_dbfs": FLOOR_DB, "peak_pos_ms": 0.0, "peak_to_rms_db": 0.0, "decay_db": 0.0}
-    head = np.abs(x[: n["peak_window_ms"]])
-    at = int(head.argmax())
-    peak = amp_to_db(head[at])
-    early, late = x[: n["decay_early_ms"]], x[n["decay_late_start_ms"] : n["decay_late_end_ms"]]
+def _windows(rate: int, p: dict[str, float]) -> dict[str, slice]:
+    """The stretches of a clip's head that the pop features look at, in samples."""
+    at = lambda name: int(round(p[name] * rate / 1000))
     return {
-        "status": "ok", "peak_start_dbfs": peak, "peak_pos_ms": at / rate * 1000,
-        "peak_to_rms_db": peak - amp_to_db(rms(x[n["follow_start_ms"] : n["follow_end_ms"]])), "decay_db": amp_to_db(rms(early)) - amp_to_db(rms(late)),
+        "peak": slice(0, at("peak_window_ms")), "follow": slice(at("follow_start_ms"), at("follow_end_ms")),
+        "early": slice(0, at("decay_early_ms")), "late": slice(at("decay_late_start_ms"), at("decay_late_end_ms")),
     }
 
 
-def pop_rules(peak: Column, position_ms: Column, over_rms: Column, decay: Column, **settings: float) -> dict[str, Column]:
-    """The four rules by the name given when one fails."""
+def pop_features(x: np.ndarray, rate: int, **settings: float) -> dict:
+    """Peak of the head, its place in samples and ms, whether that is early (within ``early_peak_max_ms``, in whole samples), and its height over what follows."""
+    p = POP | settings
+    windows = _windows(rate, p)
+    x = np.asarray(x, dtype=np.float64)
+    if len(x) < max(w.stop for w in windows.values()):
+        return dict.fromkeys(("peak_to_rms_db", "decay_db", "peak_pos_ms"), 0.0) | {"status": "failed_too_short", "peak_start_dbfs": FLOOR_DB, "peak_is_early": False}
+    level = {name: amp_to_db(rms(x[w])) for name, w in windows.items()}
+    head = np.abs(x[windows["peak"]])
+    place, peak = int(head.argmax()), amp_to_db(float(head.max()))
+    early = place <= int(round(p["early_peak_max_ms"] * rate / 1000))
+    return {"status": "ok", "peak_start_dbfs": peak, "peak_pos_ms": 1000 * place / rate, "peak_is_early": early, "peak_to_rms_db": peak - level["follow"], "decay_db": level["early"] - level["late"]}
+
+
+def pop_rules(peak: Column, is_early: Column, over_rms: Column, decay: Column, **settings: float) -> dict[str, Column]:
+    """The four rules by the name given when one fails. Whether a peak is early is told in whole samples, as ``pop_features`` does."""
     p = POP | settings
     return {
-        "peak_below_threshold": peak >= p["peak_threshold_dbfs"], "peak_not_early": position_ms <= p["early_peak_max_ms"],
+        "peak_below_threshold": peak >= p["peak_threshold_dbfs"], "peak_not_early": is_early,
         "insufficient_peak_to_rms": over_rms >= p["peak_to_rms_threshold_db"], "insufficient_decay": decay >= p["decay_threshold_db"],
     }
 
@@ -309,7 +329,7 @@ def header_duration(data: bytes) -> float:
     try:
         with wave.open(io.BytesIO(data)) as w:
             return w.getnframes() / w.getframerate()
-    except (wave.Error, EOFError, ZeroDivisionError, struct.error):
+    except (wave.Error, EOFError, ZeroDivisionError, RuntimeError, struct.error):
         try:
             x, rate = decode_wav(data)
             return len(x) / rate if rate else 0.0
@@ -317,22 +337,51 @@ def header_duration(data: bytes) -> float:
             return 0.0
 
 
+def head_duration(head: bytes, size: int) -> float | None:
+    """Seconds by the first bytes of a RIFF file and its whole size; None if the data chunk doesn't begin in them or isn't PCM or float."""
+    if len(head) < 12 or head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        return None
+    at, bytes_a_second = 12, 0
+    while at + 8 <= len(head):
+        name, length = head[at : at + 4], struct.unpack("<I", head[at + 4 : at + 8])[0]
+        if name == b"fmt " and at + 24 <= len(head):
+            _, channels, rate = struct.unpack("<HHI", head[at + 8 : at + 16])
+            bytes_a_second = rate * channels * (struct.unpack("<H", head[at + 22 : at + 24])[0] // 8)
+        elif name == b"data":
+            return min(length, max(size - at - 8, 0)) / bytes_a_second if bytes_a_second else None
+        at += 8 + length + length % 2
+    return None
+
+
+HEAD = 4096
+
+
 def wav_seconds(content: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
+    """Seconds of binary WAV content by its head; only clips whose head doesn't tell are handed on whole. 0 for null or unreadable content."""
+
+    def by_head(head: pd.Series, size: pd.Series) -> pd.Series:
+        return pd.Series([None if h is None else head_duration(h, int(n)) for h, n in zip(head, size, strict=True)], dtype="float64")
+
+    def whole(s: pd.Series) -> pd.Series:
         return s.map(lambda b: 0.0 if b is None else header_duration(b)).astype("float64")
 
-    return F.pandas_udf(run, "double")(content)  # type: ignore[call-overload]
+    found = F.pandas_udf(by_head, "double")(F.substring(content, 1, HEAD), F.octet_length(content))  # type: ignore[call-overload]
+    return F.coalesce(found, F.pandas_udf(whole, "double")(F.when(found.isNull(), content)))  # type: ignore[call-overload]
 
 
-def decoded(content: Column, rate: int = VAD_RATE) -> Column:
-    """Binary WAV to array<float> at ``rate``; null for null or unreadable content."""
+def decoded(content: Column, rate: int = VAD_RATE, *, strict: bool = False) -> Column:
+    """Binary WAV to array<float> at ``rate``. Null or unreadable content gives null, or stops the query if ``strict``."""
 
     def run(s: pd.Series) -> pd.Series:
         def one(b: bytes | None):  # noqa: ANN202
             try:
-                x, r = decode_wav(b) if b is not None else (None, 0)
-                return None if x is None else resample(x, r, rate)
+                if b is None:
+                    raise ValueError("no audio")
+                x, r = decode_wav(b)
+                return resample(x, r, rate)
             except (ValueError, struct.error):
+                if strict:
+                    raise
                 return None
 
         return s.map(one)
@@ -340,6 +389,51 @@ def decoded(content: Column, rate: int = VAD_RATE) -> Column:
     return F.pandas_udf(run, "array<float>")(content)  # type: ignore[call-overload]
 
 
+def any_audio(df: DataFrame, field: str, *, rate: str | None = None, files: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``samples`` and ``sampling_rate`` from an audio field of any of the usual forms; both null where there is none.
+
+    The field may be a struct with some of ``array`` and ``sampling_rate``, ``bytes``, ``path``; an array of samples (its rate in the column ``rate``); binary
+    WAV content; or a path as a string. The first form that a row has is taken. Files named by a path come from ``files`` (path, content; see
+    ``sources.readers.list_audio``), joined by the path, of which a file scheme is left out.
+    """
+    kind = df.schema[field].dataType
+    parts = kind.fieldNames() if isinstance(kind, StructType) else []
+    get = lambda name, typ: (F.col(field)[name] if name in parts else F.lit(None)).cast(typ)
+    samples, given = get("array", "array<float>"), get("sampling_rate", "int")
+    content, path = get("bytes", "binary"), get("path", "string")
+    if isinstance(kind, ArrayType):
+        samples, given = F.col(field).cast("array<float>"), F.col(rate).cast("int") if rate else F.lit(None).cast("int")
+    elif isinstance(kind, BinaryType):
+        content = F.col(field)
+    elif isinstance(kind, StringType):
+        path = F.col(field)
+    rows = df.withColumn("_x", samples).withColumn("_r", given).withColumn("_b", content)
+    if files is not None:
+        bare = lambda c: F.regexp_replace(c, "^file:/*", "/")
+        table = files.select(bare(F.col("path")).alias("_path"), F.col("content").alias("_file"))
+        rows = rows.withColumn("_path", F.when(F.col("_x").isNull() & F.col("_b").isNull(), bare(path))).join(table, "_path", "left")
+        rows = rows.withColumn("_b", F.coalesce("_b", "_file")).drop("_path", "_file")
+
+    def read(s: pd.Series) -> pd.DataFrame:
+        def one(b: bytes | None) -> tuple:
+            try:
+                return decode_wav(b) if b is not None else (None, None)
+            except (ValueError, struct.error):
+                return None, None
+
+        found = [one(b) for b in s]
+        return pd.DataFrame({"x": pd.Series([x for x, _ in found], dtype=object), "r": pd.Series([r for _, r in found], dtype="Int32")})
+
+    wav = F.pandas_udf(read, "x array<float>, r int")(F.when(F.col("_x").isNull(), F.col("_b")))  # type: ignore[call-overload]
+    out = rows.withColumn("_w", wav).withColumn("samples", F.coalesce("_x", "_w.x")).withColumn("sampling_rate", F.coalesce("_r", "_w.r"))
+    return out.drop("_x", "_r", "_b", "_w")
+
+
+def audio_seconds(samples: Column, rate: Column) -> Column:
+    """Length by samples and rate; 0 where either is missing."""
+    return F.coalesce(F.when(rate > 0, F.size(samples) / rate), F.lit(0.0))
+
+
 def encoded(samples: Column, rate: Column) -> Column:
     """array<float> to a binary WAV; null stays null."""
 
@@ -356,6 +450,37 @@ def measured_loudness(samples: Column, rate: Column) -> Column:
     return F.pandas_udf(run, "double")(samples, rate)  # type: ignore[call-overload]
 
 
+def loudness_gain(df: DataFrame, samples: str, rate: str, target: float = TARGET_LUFS, tolerance: float = TOLERANCE_LU) -> DataFrame:
+    """``df`` with ``samples`` at ``target`` loudness, and loudness_status, loudness_before, loudness_gain, loudness_clipped (whether the gain met the limits of -1..1) and peak_dbfs after it.
+
+    Clips that can't be measured or lie within ``tolerance`` stay as they are; null clips fail the measurement.
+    """
+
+    def run(s: pd.Series, r: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x, k in zip(s, r, strict=True):
+            if x is None or not k:
+                rows.append((x, "failed_loudness_measurement", None, None, False, None))
+                continue
+            x = np.asarray(x, dtype=np.float32)
+            y, status, before, gain = normalize_loudness(x, int(k), target, tolerance)
+            clipped = status == "normalized" and bool(np.max(np.abs(x)) * 10 ** (gain / 20) > 1)
+            rows.append((y, status, before, gain, clipped, peak_dbfs(y)))
+        out = pd.DataFrame(rows, columns=["x", "status", "before", "gain", "clipped", "peak"])
+        return out.astype({"before": "float64", "gain": "float64", "peak": "float64"})
+
+    # declared so that picking its fields doesn't make Spark run it once for each
+    done = F.pandas_udf(run, "x array<float>, status string, before double, gain double, clipped boolean, peak double").asNondeterministic()  # type: ignore[call-overload]
+    names = {samples: "x", "loudness_status": "status", "loudness_before": "before", "loudness_gain": "gain", "loudness_clipped": "clipped", "peak_dbfs": "peak"}
+    return df.withColumn("_loud", done(F.col(samples), F.col(rate))).withColumns({n: F.col(f"_loud.{f}") for n, f in names.items()}).drop("_loud")
+
+
+def loudness_report(df: DataFrame) -> DataFrame:
+    """Outcomes of ``loudness_gain``: clips, clipped ones, mean gain of changed ones and highest peak, by status."""
+    changed = F.when(F.col("loudness_status") == "normalized", F.col("loudness_gain"))
+    return df.groupBy("loudness_status").agg(F.count(F.lit(1)).alias("clips"), F.count_if("loudness_clipped").alias("clipped"), F.avg(changed).alias("mean_gain"), F.max("peak_dbfs").alias("highest_peak"))
+
+
 CLEAN_SCHEMA = "samples array<float>, sampling_rate int, quality_score double, snr_db double, speech_ratio double, duration double, drop_reason string"
 
 
@@ -378,14 +503,14 @@ def pop_columns(df: DataFrame, samples: str, rate: str) -> DataFrame:
     """``df`` with the features of ``pop_features`` and ``flagged`` and ``reason`` by ``pop_rules``."""
     from clipwright.operators.cleanup import failed_rules
 
-    names = ("status", "peak_start_dbfs", "peak_pos_ms", "peak_to_rms_db", "decay_db")
+    names = ("status", "peak_start_dbfs", "peak_pos_ms", "peak_is_early", "peak_to_rms_db", "decay_db")
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for s, r in batches:
             yield pd.DataFrame([pop_features(np.asarray([] if x is None else x, dtype=np.float32), int(k)) for x, k in zip(s, r, strict=True)], columns=list(names))
 
-    schema = "status string, peak_start_dbfs double, peak_pos_ms double, peak_to_rms_db double, decay_db double"
+    schema = "status string, peak_start_dbfs double, peak_pos_ms double, peak_is_early boolean, peak_to_rms_db double, decay_db double"
     out = df.withColumn("_pop", F.pandas_udf(run, schema)(F.col(samples), F.col(rate))).select("*", "_pop.*").drop("_pop")  # type: ignore[call-overload]
-    reason = failed_rules(pop_rules(F.col("peak_start_dbfs"), F.col("peak_pos_ms"), F.col("peak_to_rms_db"), F.col("decay_db")))
+    reason = failed_rules(pop_rules(F.col("peak_start_dbfs"), F.col("peak_is_early"), F.col("peak_to_rms_db"), F.col("decay_db")))
     ok = F.col("status") == "ok"
     return out.withColumn("reason", F.when(ok, reason).otherwise("clip_too_short_for_windows")).withColumn("flagged", ok & (F.col("reason") == "all_rules_passed"))

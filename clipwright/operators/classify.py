@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CLASSES = ("Female", "Male")
@@ -16,13 +16,16 @@ LEAST_CONFIDENCE = 0.65
 LEAST_PER_CLASS = 5
 
 
-def score(df: DataFrame, vector: str, weights: Sequence[float], bias: float, *, classes: Sequence[str] = CLASSES, least: float = LEAST_CONFIDENCE) -> DataFrame:
-    """``df`` with gender_predicted and gender_confidence: sigmoid of the weighted sum for the second class. Below ``least`` it is Unknown; null vectors give Unknown and 0."""
+def score(df: DataFrame, vector: str, weights: Sequence[float], bias: float, *, classes: Sequence[str] = CLASSES, least: float = LEAST_CONFIDENCE, scorer: Callable[[str], Column] | None = None) -> DataFrame:
+    """``df`` with gender_predicted and gender_confidence: sigmoid of the weighted sum for the second class. Below ``least`` it is Unknown; null vectors give Unknown and 0.
+
+    ``scorer`` takes the vector's column and gives the probability of the second class, in place of the weighted sum: any other model.
+    """
     if sorted(classes) != sorted(CLASSES):
         raise ValueError(f"classes must be {CLASSES}")
     w = F.array(*(F.lit(float(x)) for x in weights))
     z = F.aggregate(F.zip_with(vector, w, lambda a, b: a.cast("double") * b), F.lit(float(bias)), lambda s, x: s + x)
-    p = 1 / (1 + F.exp(-z))
+    p = scorer(vector) if scorer else 1 / (1 + F.exp(-z))
     top = F.greatest(p, 1 - p)
     label = F.when(top < least, "Unknown").when(p > 0.5, classes[1]).otherwise(classes[0])
     missing = F.col(vector).isNull() | p.isNull() | F.isnan(p)

@@ -29,6 +29,13 @@ def lookup(df: DataFrame, table: DataFrame, key: str, defaults: Mapping[str, obj
     return joined.withColumns({c: F.coalesce(F.col(f"_{c}"), F.lit(v)) for c, v in defaults.items()}).drop(*(f"_{c}" for c in defaults))
 
 
+def lookup_by_file(df: DataFrame, earlier: DataFrame, path: str, defaults: Mapping[str, object], order: list[str]) -> DataFrame:
+    """``df`` with what an earlier run found for a file of the same name, wherever it lay: the last row by ``order``, or the defaults. Null paths get the defaults."""
+    name = F.element_at(F.split(path, "/"), -1)
+    named = earlier.withColumn("_file", name).filter("_file is not null")
+    return lookup(df.withColumn("_file", name), named, "_file", defaults, order).drop("_file")
+
+
 def not_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key isn't in ``done``: what a resumed run has yet to do."""
     return df.join(done.select(key).distinct(), key, "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.functions.audio import clean_audio
+from clipwright.functions.audio import clean_audio, loudness_gain, loudness_report
 from clipwright.functions.text import with_normalized_transcript
 from clipwright.operators.cleanup import cleanup, cleanup_audit, deny, drop_noise
 from clipwright.operators.density import MIN_CLUSTER, MIN_SAMPLES, cluster_partitions
@@ -75,10 +75,22 @@ def regroup_speakers(voices: DataFrame, *, dims: int, least: int = MIN_CLUSTER,
     return out.withColumn("cluster_id", F.coalesce("_c", "cluster_id")).withColumn("cluster_confidence", F.coalesce("_q", "cluster_confidence")).drop("_c", "_q")
 
 
+def level_audio(clips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clips with their audio at the release's loudness, outcomes): each outcome's clips, clipped ones, mean gain and highest peak. The struct ``audio`` keeps its rate."""
+    flat = require_columns(clips, ["audio"]).withColumn("_s", F.col("audio.array")).withColumn("_r", F.col("audio.sampling_rate")).drop("audio")
+    done = loudness_gain(flat, "_s", "_r")
+    report = loudness_report(done)
+    names = ["loudness_status", "loudness_before", "loudness_gain", "loudness_clipped", "peak_dbfs"]
+    return done.withColumn("audio", F.struct(F.col("_s").alias("array"), F.col("_r").alias("sampling_rate"))).drop("_s", "_r", *names), report
+
+
 def rebuild(clips: DataFrame, mapping: DataFrame, *, seed: int = 42) -> DataFrame:
-    """Clips of the annotated release: noise out, one mapping row for each clip, cast and split by new speaker."""
+    """Clips of the annotated release: noise out, one mapping row for each clip, audio (if there is any) levelled, cast and split by new speaker."""
     rows = last_of(drop_noise(mapping.select("source_id", "cluster_id", "cluster_gender", "cluster_confidence")), "source_id", ["cluster_confidence", "cluster_id"])
     joined = relabel(clips.drop("gender", "split"), rows)
     named = joined.withColumnsRenamed({"cluster_id": "speaker_id", "cluster_gender": "gender", "cluster_confidence": "speaker_assignment_confidence"})
     counted = add_clip_count(named.drop("speaker_clip_count"), "speaker_id")
-    return stratified_split(cast_to(counted, ANNOTATED), "speaker_id", "source_id", seed=seed)
+    if "audio" not in counted.columns:
+        return stratified_split(cast_to(counted, ANNOTATED), "speaker_id", "source_id", seed=seed)
+    types = {"audio": "struct<array:array<float>,sampling_rate:int>"} | ANNOTATED
+    return stratified_split(cast_to(level_audio(counted)[0], types), "speaker_id", "source_id", seed=seed)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.functions.audio import clean_audio, decoded, encoded, loudness_status, measured_loudness, pop_columns, pop_rules, pop_suggestion, wav_seconds
+from clipwright.functions.audio import (
+    any_audio, audio_seconds, clean_audio, decoded, encoded, loudness_gain, loudness_report, loudness_status, measured_loudness, pop_columns, pop_rules, pop_suggestion, wav_seconds,
+)
 from clipwright.operators.classify import score
 from clipwright.operators.cleanup import drop_reason_counts, failed_rules
 from clipwright.operators.density import cluster_partitions
+from clipwright.operators.embed import embed
 from clipwright.operators.frames import from_frames, gaps, kept_frames, quality, smooth_mask, speech_bounds
-from clipwright.operators.vectors import centroids, cosine_to_own, l2_normalized, nearest_centroid, rescue, usable
+from clipwright.operators.lookups import lookup_by_file
+from clipwright.operators.vectors import centroids, cosine_to_own, l2_normalized, nearest_centroid, norm, rescue, usable
 from clipwright.operators.votes import cluster_report as report
 from clipwright.operators.votes import relabel_mapping, renumber_clusters, vote_matrix, vote_string, with_majority
 from clipwright.plans.tables import table
@@ -119,7 +123,7 @@ def snr_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def pop_decision(spark: SparkSession, d: str) -> DataFrame:
     """The onset rules over clips' numbers."""
-    rules = pop_rules(-F.col("snr_db") / 10, F.col("duration"), F.col("quality_score") / 2, F.col("speech_ratio") * 12)
+    rules = pop_rules(-F.col("snr_db") / 10, F.col("duration") <= 12, F.col("quality_score") / 2, F.col("speech_ratio") * 12)
     return table(spark, d, "clips_split").select("row_id", failed_rules(rules).alias("reason"))
 
 
@@ -143,12 +147,13 @@ def loudness_lufs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mic_pops(spark: SparkSession, d: str) -> DataFrame:
-    return pop_columns(_signals(spark, d), "samples", "rate").drop("samples", "rate")
+    out = pop_columns(_signals(spark, d), "samples", "rate").drop("samples", "rate")
+    return out.withColumns({c: F.round(c, 6) for c in ("peak_start_dbfs", "peak_to_rms_db", "decay_db")})
 
 
 def audio_clean(spark: SparkSession, d: str) -> DataFrame:
     clips = table(spark, d, "clip_voice").select("row_id", F.flatten(F.array_repeat("embedding", 100)).alias("samples"), F.lit(8000).alias("rate"))
-    return clean_audio(clips, "samples", "rate").select("row_id", "speech_ratio", "duration", "drop_reason")
+    return clean_audio(clips, "samples", "rate").select("row_id", "speech_ratio", F.round("duration", 6).alias("duration"), "drop_reason")
 
 
 def audio_drops(spark: SparkSession, d: str) -> DataFrame:
@@ -162,6 +167,35 @@ def wav_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return out.select("row_id", (F.col("samples") == F.col("back")).alias("same"), "seconds")
 
 
+def audio_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Length and first sample of clips that come as arrays, as WAV bytes, or as neither."""
+    clips = _signals(spark, d)
+    wav = F.when(F.col("row_id") % 3 == 1, encoded(F.col("samples"), F.col("rate")))
+    array = F.when(F.col("row_id") % 3 == 0, F.col("samples"))
+    field = F.struct(array.alias("array"), F.when(array.isNotNull(), F.col("rate")).alias("sampling_rate"), wav.alias("bytes"))
+    out = any_audio(clips.select("row_id", field.alias("audio")), "audio")
+    return out.select("row_id", F.size("samples").alias("n"), F.col("samples")[0].cast("double").alias("first"), audio_seconds(F.col("samples"), F.col("sampling_rate")).alias("seconds"))
+
+
+def loudness_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What levelling does to the voices' clips: clips by outcome."""
+    return loudness_report(loudness_gain(_signals(spark, d), "samples", "rate")).select("loudness_status", "clips", F.round("mean_gain", 6).alias("mean_gain"))
+
+
+def voice_embed(spark: SparkSession, d: str) -> DataFrame:
+    """Clips embedded by the default encoder: length of the vector, and whether it could be made."""
+    clips = table(spark, d, "clip_voice").select("row_id", F.flatten(F.array_repeat("embedding", 100)).alias("samples"), F.lit(16_000).alias("rate"))
+    return embed(clips, "samples", "rate").select("row_id", F.round(norm("embedding"), 5).alias("length"), F.size("embedding").alias("dims"), "embedding_ok")
+
+
+def file_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Clips with what an earlier run found for the file of that name, "none" and 0 where it has none."""
+    name = F.concat(F.col("source_id"), F.lit(".wav"))
+    clips = table(spark, d, "clips_split").select("row_id", F.concat(F.lit("/data/"), F.coalesce("source_speaker_id", F.lit("none")), F.lit("/"), name).alias("path"))
+    earlier = table(spark, d, "clip_voice").select(F.concat(F.lit("/old/"), name).alias("path"), "gender_predicted", "gender_confidence", "loaded_at", "row_id")
+    return lookup_by_file(clips, earlier, "path", {"gender_predicted": "none", "gender_confidence": 0.0}, ["loaded_at", "row_id"]).select("row_id", "gender_predicted", "gender_confidence")
+
+
 def hdbscan_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Density clusters of the voices by gender."""
     voices = usable(table(spark, d, "clip_voice")).filter(F.col("gender_predicted").isin("Female", "Male"))
@@ -172,10 +206,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         l2_norm, label_centroids, cosine_self, nearest_label, noise_rescue, noise_rescue_strict, lr_score, cluster_votes, cluster_report, cluster_flags, cluster_renumber, cluster_vote_string,
-        frame_smooth, gap_trim, gap_lengths, edge_trim, snr_metrics, pop_decision, pop_advice, loudness_decision, loudness_lufs, mic_pops, audio_clean, audio_drops, wav_round_trip, hdbscan_cluster,
+        frame_smooth, gap_trim, gap_lengths, edge_trim, snr_metrics, pop_decision, pop_advice, loudness_decision, loudness_lufs, mic_pops, audio_clean, audio_drops, wav_round_trip, audio_forms, loudness_outcomes, voice_embed, file_lookup, hdbscan_cluster,
     )
 }
 
+# clips are a voice's 64 numbers, repeated: of a clip's windows the SQL takes the numbers at each place modulo 64
+_RMS = "20 * log10(greatest(sqrt(list_sum(list_transform(range({0}, {1}), lambda i: e[i % 64 + 1] * e[i % 64 + 1])) / ({1} - {0})), 1e-8))"
+_CLIPS = "(SELECT row_id, embedding, list_sum(list_transform(embedding, lambda e: CASE WHEN e::VARCHAR = 'nan' THEN 0 ELSE abs(e::DOUBLE) END)) AS loud FROM clip_voice)"
+_DROP = "CASE WHEN embedding IS NULL OR len(embedding) < 64 THEN 'empty_after_trim' WHEN loud = 0 THEN 'no_speech_detected' END"
 _D = "list_transform({}, lambda e: e::DOUBLE)"
 _USABLE = f"""(SELECT row_id, e, sqrt(list_dot_product(e, e)) AS n FROM (SELECT row_id, {_D.format('embedding')} AS e FROM clip_voice
     WHERE coalesce(embedding_ok, true) AND embedding IS NOT NULL) WHERE NOT isnan(list_dot_product(e, e)) AND list_dot_product(e, e) > 0)"""
@@ -243,5 +281,17 @@ SQL = {
         CASE WHEN NOT coalesce(speech_ratio * 12 >= 8, false) THEN 'insufficient_decay' END) AS r FROM clips_split)""",
     "pop_advice": """SELECT language, percent, CASE WHEN percent < 5 THEN 'leave_as_is' WHEN percent < 10 THEN 'consider_conditional_fade_for_flagged' ELSE 'consider_global_fade_in' END AS suggestion
         FROM (SELECT language, count(*) FILTER (snr_db < 20) * 100.0::DOUBLE / count(*) AS percent FROM clips_split GROUP BY 1)""",
+    "wav_round_trip": f"SELECT row_id, true AS same, 0.8::DOUBLE AS seconds FROM {_USABLE}",
+    "audio_clean": f"SELECT row_id, CASE WHEN r IS NULL THEN 1.0::DOUBLE END AS speech_ratio, CASE WHEN r IS NULL THEN 0.78::DOUBLE END AS duration, r AS drop_reason FROM (SELECT row_id, {_DROP} AS r FROM {_CLIPS})",
+    "audio_drops": f"SELECT drop_reason, count(*) AS n FROM (SELECT {_DROP} AS drop_reason FROM {_CLIPS}) WHERE drop_reason IS NOT NULL GROUP BY 1",
+    "mic_pops": f"""WITH f AS (SELECT row_id, list_max(list_transform(e, lambda v: abs(v))) AS m, e, {_RMS.format(160, 960)} AS follow, {_RMS.format(0, 80)} AS early, {_RMS.format(240, 800)} AS late FROM {_USABLE}),
+        g AS (SELECT row_id, 20 * log10(greatest(m, 1e-8)) AS peak, list_position(list_transform(e, lambda v: abs(v)), m) - 1 AS place, follow, early, late FROM f),
+        h AS (SELECT row_id, 'ok' AS status, round(peak, 6) AS peak_start_dbfs, 1000.0::DOUBLE * place / 8000 AS peak_pos_ms, place <= 96 AS peak_is_early, round(peak - follow, 6) AS peak_to_rms_db, round(early - late, 6) AS decay_db FROM g)
+        SELECT *, CASE WHEN w = '' THEN 'all_rules_passed' ELSE w END AS reason, w = '' AS flagged FROM (SELECT *, concat_ws('|', CASE WHEN peak_start_dbfs < -3 THEN 'peak_below_threshold' END,
+        CASE WHEN NOT peak_is_early THEN 'peak_not_early' END, CASE WHEN peak_to_rms_db < 12 THEN 'insufficient_peak_to_rms' END, CASE WHEN decay_db < 8 THEN 'insufficient_decay' END) AS w FROM h)""".replace("SELECT *, CASE WHEN w", "SELECT * EXCLUDE (w), CASE WHEN w"),
+    "audio_forms": f"SELECT row_id, CASE WHEN row_id % 3 < 2 THEN 6400 END::INT AS n, CASE WHEN row_id % 3 < 2 THEN e[1] END AS first, CASE WHEN row_id % 3 < 2 THEN 0.8::DOUBLE ELSE 0 END AS seconds FROM {_USABLE}",
+    "voice_embed": f"SELECT row_id, CASE WHEN r IS NULL THEN 1.0::DOUBLE END AS length, CASE WHEN r IS NULL THEN 48 END::INT AS dims, r IS NULL AS embedding_ok FROM (SELECT row_id, {_DROP} AS r FROM {_CLIPS})",
+    "file_lookup": """WITH v AS (SELECT source_id, gender_predicted, gender_confidence FROM clip_voice WHERE source_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC, row_id DESC) = 1)
+        SELECT row_id, coalesce(v.gender_predicted, 'none') AS gender_predicted, coalesce(v.gender_confidence, 0.0) AS gender_confidence FROM clips_split c LEFT JOIN v USING (source_id)""",
     "loudness_decision": """SELECT row_id, CASE WHEN snr_db IS NULL OR snr_db::VARCHAR = 'nan' THEN 'failed_loudness_measurement' WHEN abs(-23 + snr_db) <= 1 THEN 'skipped_within_tolerance' ELSE 'normalized' END AS status FROM clips_split""",
 }

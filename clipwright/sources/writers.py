@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,23 +67,25 @@ def write_text(df: DataFrame, column: str, path: str) -> None:
 
 
 def write_wavs(df: DataFrame, folder: str, *, name: str, samples: str, rate: str) -> DataFrame:
-    """(name, ok, error): each clip written as a float WAV file in a folder all executors see; a failing row doesn't stop the others.
+    """(name, ok, error): each clip written as a float WAV file in a folder of a file system all executors reach; a failing row doesn't stop the others.
 
-    Files are written under a temporary name and renamed, so a task that runs twice leaves whole files.
+    ``folder`` is a path or a URI (file, hdfs, s3 and others). Files are written under a temporary name and moved, so a task that runs twice leaves whole files.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
+        system, root = FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (LocalFileSystem(), os.path.abspath(folder))
+        system.create_dir(root, recursive=True)
         for pdf in batches:
             rows = []
             for n, x, r in zip(pdf["n"], pdf["x"], pdf["r"], strict=True):
                 try:
                     if x is None:
                         raise ValueError("no samples")
-                    path = os.path.join(folder, os.path.basename(f"{n}.wav"))
-                    with open(f"{path}.{os.getpid()}", "wb") as f:
+                    path = f"{root}/{os.path.basename(f'{n}.wav')}"
+                    fresh = f"{path}.{uuid.uuid4().hex}"
+                    with system.open_output_stream(fresh) as f:
                         f.write(encode_wav(x, int(r)))
-                    os.replace(f"{path}.{os.getpid()}", path)
+                    system.move(fresh, path)
                     rows.append((n, True, None))
                 except (OSError, ValueError, TypeError) as e:
                     rows.append((n, False, str(e)))
@@ -126,8 +130,40 @@ def remove_if_there(spark: SparkSession, *paths: str) -> None:
         drop_path(spark, p)
 
 
-def dataset_card(df: DataFrame, title: str) -> str:
-    """A release note in Markdown from one pass over the clips: rows, speakers and hours by split."""
-    rows = df.groupBy("split").agg(F.count(F.lit(1)).alias("clips"), F.countDistinct("source_speaker_id").alias("speakers"), (F.sum("duration") / 3600).alias("hours")).orderBy("split").collect()
-    lines = [f"# {title}", "", "| split | clips | speakers | hours |", "| --- | --- | --- | --- |"]
-    return "\n".join([*lines, *(f"| {r['split']} | {r['clips']} | {r['speakers']} | {r['hours'] or 0:.2f} |" for r in rows), ""])
+def with_run_time(df: DataFrame, into: str = "run_at") -> DataFrame:
+    """A report with the time of the run, the same for all its rows."""
+    return df.withColumn(into, F.current_timestamp())
+
+
+def _at(audit: Mapping, *path: str):  # noqa: ANN202
+    for p in path:
+        audit = audit.get(p) if isinstance(audit, Mapping) else None
+    return audit
+
+
+# What the card tells of earlier phases, by the place in their audits
+CARD_AUDITS = (
+    ("Clips before speakers were found", ("before", "total_clips")), ("Source speakers", ("before", "unique_speakers")), ("Speakers found", ("speakers", "count")),
+    ("Clips taken back from noise", ("speakers", "rescued_clips")), ("Clips left as noise", ("speakers", "noise_after_rescue")), ("Clips levelled", ("loudness", "normalized")),
+    ("Clips within the tolerance", ("loudness", "skipped_within_tolerance")), ("Clips whose loudness can't be measured", ("loudness", "failed_loudness_measurement")), ("Rows the gender model learnt from", ("gender_model", "rows")),
+)
+
+
+def dataset_card(df: DataFrame, title: str, *, audits: Mapping | None = None, speaker: str = "source_speaker_id", license: str = "cc-by-4.0", languages: Sequence[str] = ("sna",), tasks: Sequence[str] = ("automatic-speech-recognition",)) -> str:
+    """A release note in Markdown with a header of features and splits: clips, speakers and hours by split and over all, genders, and what the audits of earlier phases tell ("not recorded" where they don't)."""
+    some = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    hours = F.sum(F.nanvl(some("duration").cast("double"), F.lit(None).cast("double"))) / 3600
+    figures = [F.count(F.lit(1)).alias("clips"), F.countDistinct(speaker).alias("speakers"), hours.alias("hours")]
+    rows = df.groupBy("split").agg(*figures).orderBy(F.asc_nulls_last("split")).collect()
+    whole = df.agg(*figures).first()
+    genders = df.groupBy(F.coalesce(some("gender").cast("string"), F.lit("unknown")).alias("g")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g").collect()
+    head = ["---", "dataset_info:", "  features:", *(line for f in df.schema for line in (f"  - name: {f.name}", f"    dtype: {f.dataType.simpleString()}"))]
+    head += ["  splits:", *(line for r in rows for line in (f"  - name: {r['split']}", f"    num_examples: {r['clips']}"))]
+    for key, values in (("task_categories", tasks), ("language", languages)):
+        head += [f"{key}:", *(f"- {v}" for v in values)]
+    head += [f"license: {license}", "---"]
+    line = lambda name, r: f"| {name} | {r['clips']} | {r['speakers']} | {r['hours'] or 0:.2f} |"
+    body = [f"# {title}", "", "| split | clips | speakers | hours |", "| --- | --- | --- | --- |", *(line(r["split"], r) for r in rows), line("all", whole), ""]
+    body += ["| gender | clips |", "| --- | --- |", *(f"| {r['g']} | {r['n']} |" for r in genders), ""]
+    found = [(name, _at(audits or {}, *path)) for name, path in CARD_AUDITS]
+    return "\n".join([*head, "", *body, *(f"- {name}: {'not recorded' if v is None else v}" for name, v in found), ""])

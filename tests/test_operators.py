@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwright.functions import audio
 from clipwright.functions.text import capitalize, normalize_transcript, strip
-from clipwright.operators import classify, cleanup, density, frames, lookups, metadata, profile, sampling, schema, vectors, votes
+from clipwright.operators import classify, cleanup, density, embed, frames, lookups, metadata, profile, sampling, schema, vectors, votes
 
 GOLDEN = [
     ("a—b–c", "a b c"), ("‘x’ “y” `z`", "'x' 'y' 'z'"), ('say """hi""', 'say "hi"'), ("kushi - kushi", "kushi-kushi"), ("x\xa0-　y", "x-y"), ("One.Two A.B.C", "One. Two A. B.C"),
@@ -151,6 +151,14 @@ def test_vectors_edges(spark):
     cents = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "c int, centroid array<double>")
     got = vectors.nearest_centroid(df.filter("i = 1"), cents, "embedding", "c").first()
     assert got["nearest"] == 0 and abs(got["cosine"] - 1) < 1e-6
+    rng = np.random.default_rng(5)
+    items = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=4)] if i else None, g) for i, g in enumerate(["F", "M", "Unknown", None, "X"] * 8)], "i int, v array<double>, g string")
+    cents = spark.createDataFrame([(f"c{k}", [float(v) for v in rng.normal(size=4)], "F" if k % 2 else "M") for k in range(30)], "c string, centroid array<double>, g string")
+    for run in (lambda m: vectors.nearest_centroid(items, cents, "v", "c", most=m), lambda m: vectors.rescue(items, cents, "v", "c", "g", most=m)):
+        whole, parts = ({r["i"]: (r["nearest"], r["cosine"] and round(r["cosine"], 9)) for r in run(m).collect()} for m in (100, 7))
+        assert whole == parts and len(whole) == 40 and whole[0] == (None, None)
+    rows = {r["i"]: r for r in vectors.rescue(items, cents, "v", "c", "g").collect()}
+    assert rows[3]["nearest"] is None and rows[4]["nearest"] is None and int(rows[6]["nearest"][1:]) % 2 == 0 and rows[3]["rescued"] is False
 
 
 def test_hdbscan_finds_blobs_and_noise():
@@ -231,3 +239,87 @@ def test_profiles_of_empty_tables(spark):
     assert profile.clip_histogram(df).agg(F.sum("speakers")).first()[0] == 0
     assert profile.coverage(df).count() == len(profile.THRESHOLDS)
     assert profile.long_tail(df).first()["tail_clip_share"] == 0.0
+
+
+def test_nan_comes_out_as_null(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, "a"), (2, 1.5, "NaN"), (3, None, None)], "i int, q double, t string").withColumn("f", F.col("q").cast("float"))
+    out = {r["i"]: (r["q"], r["f"], r["t"]) for r in schema.nan_to_null(df).collect()}
+    assert out == {1: (None, None, "a"), 2: (1.5, 1.5, "NaN"), 3: (None, None, None)}
+    table = spark.createDataFrame([("a", nan, 1), ("b", 2.0, 1)], "k string, q double, o int")
+    got = lookups.lookup(spark.createDataFrame([("a",), ("b",), ("c",)], "k string"), schema.nan_to_null(table), "k", {"q": 0.0}, ["o"])
+    assert sorted((r["k"], r["q"]) for r in got.collect()) == [("a", 0.0), ("b", 2.0), ("c", 0.0)]
+
+
+def test_medians(spark):
+    nan = float("nan")
+    columns = {"even": [4.0, 1.0, 3.0, 2.0, None, nan], "odd": [5.0, 5.0, 1.0, None, nan, None], "ties": [2.0] * 5 + [9.0], "none": [None, nan, None, None, nan, nan], "wide": [-1e9, 1e9, 0.5, 0.25, -3.0, 7.0]}
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns))
+    want = {c: (lambda v: float(np.median(v)) if v else None)([x for x in values if x is not None and x == x]) for c, values in columns.items()}
+    assert {r["metric"]: r["median"] for r in profile.medians(df, list(columns)).collect()} == want
+    many = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("double").alias("v"))
+    assert profile.medians(many.repartition(7), ["v"]).first()["median"] == 2499.5
+
+
+def test_renumbering(spark):
+    df = spark.createDataFrame([("Male", 0)] * 3 + [("Female", 1)] * 2 + [("Female", 0)] * 2 + [("Female", -1), ("Other", 1), (None, 1)], "g string, c int")
+    got = {(r["g"], r["c"]): r["cluster_id"] for r in votes.renumber_clusters(df, "g", "c").collect()}
+    assert got == {("Female", 0): 0, ("Female", 1): 1, ("Male", 0): 2}
+
+
+def test_embedding_in_halving_batches(spark):
+    sizes = []
+
+    def small_memory(clips, lengths):
+        if len(clips) > 3:
+            raise MemoryError
+        sizes.append(clips.shape)
+        return np.stack([[n, c.sum()] for c, n in zip(clips, lengths, strict=True)])
+
+    clips = [np.full(n, 1.0, np.float32) for n in (5, 1, 9, 2, 7, 3, 8)]
+    assert embed.in_halving_batches(clips, small_memory, batch=8).tolist() == [[n, n] for n in (5, 1, 9, 2, 7, 3, 8)] and sizes[0] == (3, 3)
+    with pytest.raises(MemoryError):
+        embed.in_halving_batches(clips, small_memory, batch=8, least=4)
+    df = spark.createDataFrame([(1, [0.1, -0.2] * 900, 16_000), (2, None, 16_000), (3, [], 16_000), (4, [0.0] * 99, 16_000), (5, [0.5], 8_000)], "i int, x array<float>, r int")
+    got = {r["i"]: r for r in embed.embed(df, "x", "r").collect()}
+    assert {i for i, r in got.items() if r["embedding_ok"]} == {1, 5} and got[2]["embedding"] is None and abs(np.linalg.norm(got[1]["embedding"]) - 1) < 1e-5
+    with pytest.raises(Exception, match="no audio"):
+        embed.embed(df, "x", "r", strict=True).collect()
+    assert embed.embed(df.limit(0), "x", "r").count() == 0
+
+
+def test_another_scorer(spark):
+    df = spark.createDataFrame([(1, [0.9]), (2, [0.1]), (3, [0.5]), (4, None)], "i int, v array<double>")
+    got = {r["i"]: r["gender_predicted"] for r in classify.score(df, "v", [], 0.0, scorer=lambda v: F.col(v)[0]).collect()}
+    assert got == {1: "Male", 2: "Female", 3: "Unknown", 4: "Unknown"}
+
+
+def test_lookup_by_file(spark):
+    df = spark.createDataFrame([(1, "/a/x.wav"), (2, "y.wav"), (3, None)], "i int, path string")
+    old = spark.createDataFrame([("/b/x.wav", 1.0, 1), ("/c/d/x.wav", 2.0, 2), (None, 9.0, 1)], "path string, q double, o int")
+    assert {r["i"]: r["q"] for r in lookups.lookup_by_file(df, old, "path", {"q": 0.0}, ["o"]).collect()} == {1: 2.0, 2: 0.0, 3: 0.0}
+
+
+def test_speech_span_and_early_peaks():
+    assert audio.speech_span(np.zeros(9, bool), 9 * audio.FRAME) is None
+    mask = np.zeros(100, bool)
+    mask[40:60] = True
+    span, held = audio.speech_span(mask, 100 * audio.FRAME)
+    assert (span.start, span.stop) == (40 * 720 - 9600, 60 * 720 + 9600) and (held.start, held.stop) == (26, 74)
+    x = np.full(11_025, 0.001)
+    x[132] = 1.0  # 12 ms are 132.3 samples at this rate
+    assert audio.pop_features(x, 11_025)["peak_is_early"]
+    x[132], x[133] = 0.001, 1.0
+    assert not audio.pop_features(x, 11_025)["peak_is_early"]
+
+
+def test_levelling_clips(spark):
+    t = np.arange(24_000) / 24_000
+    sine = lambda a: [float(v) for v in a * np.sin(2 * np.pi * 997 * t)]
+    df = spark.createDataFrame([(1, sine(0.01), 24_000), (2, sine(10 ** (-20 / 20)), 24_000), (3, [0.0] * 24_000, 24_000), (4, None, 24_000), (5, sine(0.001)[:-1] + [0.9], 24_000)], "i int, x array<float>, r int")
+    done = audio.loudness_gain(df, "x", "r")
+    got = {r["i"]: r for r in done.collect()}
+    assert [got[i]["loudness_status"] for i in (1, 2, 3, 4)] == ["normalized", "skipped_within_tolerance", "failed_loudness_measurement", "failed_loudness_measurement"]
+    assert abs(audio.loudness(np.asarray(got[1]["x"]), 24_000) + 23) < 0.1 and not got[1]["loudness_clipped"] and got[5]["loudness_clipped"] and got[5]["peak_dbfs"] == 0.0
+    report = {r["loudness_status"]: r for r in audio.loudness_report(done).collect()}
+    assert report["normalized"]["clips"] == 2 and report["normalized"]["clipped"] == 1 and report["failed_loudness_measurement"]["mean_gain"] is None

@@ -43,6 +43,38 @@ def test_audio_files_and_archive(spark, tmp_path):
     assert len(writers.zip_folder(f"{tmp_path}/w", f"{tmp_path}/z.zip")) == 64
 
 
+def test_any_form_of_audio(spark, tmp_path):
+    from clipwright.functions.audio import any_audio, audio_seconds, decoded, head_duration, wav_seconds
+
+    wav = encode_wav([0.5, -0.5, 0.25, 0.0], 8000)
+    assert all(r["ok"] for r in writers.write_wavs(spark.createDataFrame([("a", [0.5], 8000)], "n string, x array<float>, r int"), f"file://{tmp_path}/w", name="n", samples="x", rate="r").collect())
+    files = readers.list_audio(spark, f"{tmp_path}/w", content=True)
+    kind = "i int, audio struct<array:array<float>,sampling_rate:int,bytes:binary,path:string>"
+    df = spark.createDataFrame([(1, ([1.0, 0.5], 16_000, None, None)), (2, (None, None, wav, "x")), (3, (None, None, None, f"{tmp_path}/w/a.wav")), (4, (None, None, b"junk", None)), (5, None), (6, (None, None, None, "/none.wav"))], kind)
+    out = any_audio(df, "audio", files=files).withColumn("s", audio_seconds(F.col("samples"), F.col("sampling_rate")))
+    got = {r["i"]: (r["samples"], r["sampling_rate"], r["s"]) for r in out.collect()}
+    assert got == {1: ([1.0, 0.5], 16_000, 2 / 16_000), 2: ([0.5, -0.5, 0.25, 0.0], 8000, 0.0005), 3: ([0.5], 8000, 1 / 8000), 4: (None, None, 0.0), 5: (None, None, 0.0), 6: (None, None, 0.0)}
+    arrays = any_audio(spark.createDataFrame([([0.1], 8000)], "a array<double>, r int"), "a", rate="r").first()
+    assert arrays["sampling_rate"] == 8000 and any_audio(spark.createDataFrame([(wav,)], "a binary"), "a").first()["sampling_rate"] == 8000
+    assert any_audio(spark.createDataFrame([(f"{tmp_path}/w/a.wav",)], "a string"), "a", files=files).first()["samples"] == [0.5]
+    assert head_duration(wav[:60], len(wav)) == 0.0005 and head_duration(b"junk", 4) is None and head_duration(wav[:20], len(wav)) is None
+    late = wav[:12] + b"LIST" + (6000).to_bytes(4, "little") + b"\0" * 6000 + wav[12:]  # the data chunk begins behind the head
+    seconds = spark.createDataFrame([(1, wav), (2, late), (3, b"junk"), (4, None)], "i int, b binary").select("i", wav_seconds(F.col("b")).alias("s"))
+    assert {r["i"]: r["s"] for r in seconds.collect()} == {1: 0.0005, 2: 0.0005, 3: 0.0, 4: 0.0}
+    broken = spark.createDataFrame([(b"junk",)], "b binary")
+    assert broken.select(decoded(F.col("b")).alias("x")).first()["x"] is None
+    with pytest.raises(Exception, match="not a WAV"):
+        broken.select(decoded(F.col("b"), strict=True).alias("x")).collect()
+
+
+def test_card(spark):
+    df = spark.createDataFrame([("train", "s1", "Female", 3600.0), ("train", "s2", None, float("nan")), ("test", "s1", "Female", 1800.0)], "split string, source_speaker_id string, gender string, duration double")
+    card = writers.dataset_card(df, "Clips", audits={"speakers": {"count": 7}, "loudness": {"normalized": 0}})
+    assert "| train | 2 | 2 | 1.00 |" in card and "| all | 3 | 2 | 1.50 |" in card and "| unknown | 1 |" in card and "- Speakers found: 7" in card
+    assert "- Clips levelled: 0" in card and "- Source speakers: not recorded" in card and card.startswith("---\n") and "    num_examples: 1" in card
+    assert writers.with_run_time(df).select("run_at").distinct().count() == 1
+
+
 def test_checkpoints_belong_to_their_input(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "row_id int, id string")
     mark = readers.source_signature(df, "id", "row_id")
@@ -89,6 +121,9 @@ def test_regroup_and_rebuild(spark):
     clips = spark.createDataFrame([(f"c{i:03d}", "t", "sna", True, 1.0, 1.0, 1.0, 5.0) for i in range(120)], "source_id string, transcription string, language string, has_punctuation boolean, snr_db double, speech_ratio double, quality_score double, duration double")
     mapping = out.withColumn("cluster_gender", F.col("gender_predicted"))
     built = pipeline.rebuild(clips, mapping)
+    loud = clips.withColumn("audio", F.struct(F.array_repeat(F.lit(0.0).cast("float"), 100).alias("array"), F.lit(8000).alias("sampling_rate")))
+    levelled = pipeline.rebuild(loud, mapping)
+    assert levelled.columns == ["audio", *built.columns] and levelled.first()["audio"]["sampling_rate"] == 8000
     assert built.count() == out.filter("cluster_id >= 0").count() and dict(built.dtypes)["snr_db"] == "float"
 
 
