@@ -33,7 +33,7 @@ def stratified_split(df: DataFrame, group: str, record: str, *, seed: int = 42,
     n, r = F.col("_size"), F.col("_r")
     n_train, n_valid = F.floor(n * F.lit(train)), F.floor(n * F.lit(validation))
     split = F.when(n == 1, "train").when(r <= n_train, "train").when(r <= n_train + n_valid, "validation").otherwise("test")
-    return rows.withColumn(into, split).drop("_r", "_size")
+    return rows.withColumn(into, split).select(*(f"`{c}`" for c in df.columns if c != into), into)
 
 
 def replayed_positions(counts: list[tuple[str, int]], seed: int = 42) -> dict[str, list[int]]:
