@@ -430,6 +430,7 @@ def describe_clusters(df: DataFrame, members: DataFrame, *, record: str, vector:
     once = rows.groupBy("record", "h").agg(F.any_value("v").alias("v"))
     joined = scratch.keep(salted_join(once, members, "record", heavy=heavy_keys(once, "record")).drop("h"))
     head = joined.first()
+    scratch.free(rows)
     width = dims or (len(head["v"]) if head else 1)
     sums = joined.groupBy("cluster_key").agg(*(F.sum(F.col("v")[i].cast("double")).alias(f"s{i}") for i in range(width)))
     centre = sums.select("cluster_key", F.array(*(F.col(f"s{i}") for i in range(width))).alias("c"))

@@ -225,7 +225,7 @@ def lookalike_pairs(df: DataFrame, text: str, record: str) -> DataFrame:
     scratch = Scratch(df.sparkSession, "lookalike")
     rows = lookalike_classes(df, text, record, scratch=scratch)
     texts = rows.groupBy("form", "t").agg(F.lit(1).alias("one"))
-    several = scratch.keep(texts.groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form"))
+    several = texts.groupBy("form").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("form")
     variants = scratch.keep(salted_join(rows.select("form", "t"), several, "form", heavy=heavy_keys(rows, "form"), how="left_semi").distinct())
     twins = salted_join(variants, variants.withColumnRenamed("t", "u"), "form", heavy=heavy_keys(variants, "form")).filter("t < u").select("t", "u")
     heavy = heavy_keys(rows, "t")

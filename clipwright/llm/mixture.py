@@ -126,7 +126,7 @@ def source_key(c: str | Column) -> Column:
 
 def language_key(c: str | Column) -> Column:
     """sn, nd, en by two- and three-letter codes of any case, with or without a region; "other" for any other or none."""
-    col = F.lower(F.trim(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))))
+    col = F.lower(F.trim(F.regexp_replace(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), r"[\s\xa0]+", " ")))
     head = F.substring_index(F.substring_index(col, "-", 1), "_", 1)
     return F.when(head.isin("sn", "sna"), "sn").when(head.isin("nd", "nde"), "nd").when(head.isin("en", "eng"), "en").otherwise("other")
 
@@ -201,6 +201,7 @@ def mix_sources(
     rest = placed.filter("_fine <> _last or _last is null").withColumn("extra", F.when(F.col("_last").isNull() | (F.col("_fine") < F.col("_last")), 1).otherwise(0))
     out = [F.col("record").alias(record), "source", "language", "tokens", (F.col("epochs") + F.col("extra")).cast("int").alias("copies")]
     records = scratch.keep(cut.select(out).unionByName(rest.select(out)).filter("copies > 0"))
+    scratch.free_all(records)
     used = records.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("tokens").cast("long") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
     have = {s: sum(n for (t, _), n in sizes.items() if t == s) for s in targets}
     goal = spark.createDataFrame([(s, domain(s), float(w), int(m), have[s]) for s, (w, m) in targets.items()], "source string, domain string, target_share double, max_repeats int, available_tokens long")

@@ -300,7 +300,9 @@ def near_pairs(classes: DataFrame, rows: DataFrame, rule: Rule, scratch: Scratch
 
     # declared so that the filter on its result doesn't make Spark run it twice
     judged = full.select(F.col("ha").alias("a"), F.col("hb").alias("b"), F.pandas_udf(check, "jaccard double, near boolean").asNondeterministic()("wa", "wb").alias("c"))  # type: ignore[call-overload]
-    return scratch.keep(judged.filter("c.near").select("a", "b", "c.jaccard"))
+    found = scratch.keep(judged.filter("c.near").select("a", "b", "c.jaccard"))
+    scratch.free(candidates, texts)
+    return found
 
 
 def cross_overlaps(df: DataFrame, rule: Rule, *, record: str, text: str, side: str, complete: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -52,8 +52,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clips left when a speaker's cap is split over languages."""
-    return _capped(spark, sf_dir, strata=True).filter("kept").select("source_id", "speaker_idx", "quality_score")
+    """The clips left when a speaker's cap is split over languages; a NaN quality comes out as null."""
+    quality = F.nanvl("quality_score", F.lit(None).cast("double")).alias("quality_score")
+    return _capped(spark, sf_dir, strata=True).filter("kept").select("source_id", "speaker_idx", quality)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

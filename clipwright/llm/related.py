@@ -120,7 +120,8 @@ def related_splits(
     rows = rows.withColumn("_node", F.coalesce(*names))
     joined = salted_join(rows, roots, "_node", heavy=heavy_keys(rows.select("_node"), "_node"), how="left")
     found = joined.withColumn(component, F.coalesce("_root", F.concat(F.lit("record:"), F.coalesce(F.col(record).cast("string"), F.lit("")))))
-    point = F.pmod(F.xxhash64(F.lit(seed), F.col(component)), F.lit(1_000_000)) / F.lit(1_000_000)
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(component)))
+    point = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(1 << 32)
     split, low = None, 0.0
     items = list(proportions.items())
     for name, share in items[:-1]:

@@ -359,6 +359,12 @@ def test_tree_of_domains_languages_sources():
     assert equal.children["spoken"].children["en"].weight == 0.25
 
 
+def test_language_and_source_keys(spark):
+    df = spark.createDataFrame([(" Sna\xa0", "Radio - Talks"), ("EN_zw", "\xa0radio_talks "), ("nde", " "), (None, None), ("xx", "a b")], "l string, s string")
+    got = [tuple(r) for r in df.select(mixture.language_key("l"), mixture.source_key("s")).collect()]
+    assert got == [("sn", "radio_talks"), ("en", "radio_talks"), ("nd", None), ("other", None), ("other", "a_b")]
+
+
 def test_mixture_edges(spark):
     rows = [(i, "word " * 20, " Radio-Talks ", "SN") for i in range(50)] + [(100 + i, "other words " * 10, "notes", None) for i in range(3)] + [(200, None, "notes", "en"), (201, "", "notes", "en"), (202, "x", None, "en"), (203, "x", "unlisted", "en")]
     df = spark.createDataFrame(rows, "doc_id int, text string, source string, lang string")
