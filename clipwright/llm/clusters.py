@@ -54,8 +54,8 @@ def common_length(df: DataFrame, vector: str) -> int:
     return top["d"] if top else 1
 
 
-def usable_vectors(df: DataFrame, *, record: str, vector: str, ok: str | None, dims: int | None) -> DataFrame:
-    """(record, h, v): unit vectors with a 128-bit digest. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims`` (without it: than most have)."""
+def usable_vectors(df: DataFrame, *, record: str, vector: str, ok: str | None, dims: int | None, packed: bool = False) -> DataFrame:
+    """(record, h, v): unit vectors with a 128-bit digest, as array<float> or, ``packed``, as the bytes of their 32-bit floats, which are cheaper to move. Left out: null records, ``ok`` false, and vectors that are null, zero, hold null, NaN or infinity, or have another length than ``dims`` (without it: than most have)."""
     rows = df.filter(F.coalesce(F.col(ok), F.lit(True))) if ok else df
     dims = dims or common_length(rows, vector)
     rows = rows.select(F.col(record).cast("string").alias("record"), F.col(vector).cast("array<float>").alias("x")).filter(F.col("record").isNotNull() & (F.size("x") == dims))
@@ -68,21 +68,36 @@ def usable_vectors(df: DataFrame, *, record: str, vector: str, ok: str | None, d
                 good = np.isfinite(n) & (n > 0)
                 v = (x[good] / n[good, None]).astype(np.float32)
             digests = pa.array([xxhash.xxh3_128_digest(r.tobytes()) for r in v], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), digests, _lists(v)], names=["record", "h", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), digests, _packed(v) if packed else _lists(v)], names=["record", "h", "v"])
 
-    return rows.mapInArrow(run, "record string, h binary, v array<float>")
+    return rows.mapInArrow(run, f"record string, h binary, v {'binary' if packed else 'array<float>'}")
 
 
-def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
-    """Rows of an Arrow list column as one array without a copy for each row; null items become NaN."""
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """Rows of an Arrow column of lists or packed vectors as one array, without a copy for each row; null items become NaN."""
+    if pa.types.is_binary(column.type):
+        _, offsets, data = column.buffers()
+        if not len(column) or data is None:
+            return np.zeros((0, dims), np.float32)
+        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+        return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(np.float32).reshape(-1, dims)
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
+def _packed(x: np.ndarray) -> pa.Array:
+    """Each row's 32-bit floats as bytes."""
+    x = np.ascontiguousarray(x, np.float32)
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 4)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(x)])
+
+
 def _lists(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] if x.ndim > 1 else 0)), pa.array(x.reshape(-1)))
 
 
 def _stack(s: pd.Series) -> np.ndarray:
+    if len(s) and isinstance(s.iloc[0], bytes):
+        return np.frombuffer(b"".join(s), np.float32).reshape(len(s), -1)
     return np.stack(s.to_numpy()).astype(np.float32) if len(s) else np.zeros((0, 1), np.float32)
 
 
@@ -318,7 +333,7 @@ def core_links(vectors: DataFrame, cores: Cores, dims: int, scratch: Scratch, *,
             columns = [*batch.columns, pa.array(home), _grouped(row, to, len(home), pa.string()), _grouped(guest, of, len(home), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["record", "h", "v", "home", "to", "guest"])
 
-    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v array<float>, home int, to array<string>, guest array<int>"))
+    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v binary, home int, to array<string>, guest array<int>"))
     links = placed.select(F.col("record").alias("a"), F.explode("to").alias("b"))
     guests = placed.filter(F.size("guest") > 0).select("record", "h", "v", F.explode("guest").alias("cell"))
     visited = {r["cell"]: r["n"] for r in guests.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most a row for each cell
@@ -369,7 +384,7 @@ def loose_links(vectors: DataFrame, n: int, least: float, dims: int, scratch: Sc
             lists = _grouped(np.repeat(np.arange(len(home)), [len(g) for g in guests]), np.concatenate([*guests, np.zeros(0, np.int64)]), len(home), pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32)), lists], names=["record", "h", "v", "home", "guest"])
 
-    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v array<float>, home int, guest array<int>"))
+    placed = scratch.keep(vectors.select("record", "h", "v").mapInArrow(place, "record string, h binary, v binary, home int, guest array<int>"))
     own = placed.select("record", "h", "v", F.col("home").alias("cell"))
     other = placed.select("record", "h", "v", F.explode("guest").alias("cell"))
     # a large cell's own rows meet each other in blocks too, so they come as other ones then
@@ -396,7 +411,7 @@ def similarity_clusters(
         raise ValueError("least must be between 0 and 1")
     scratch = Scratch(df.sparkSession, "clusters")
     dims = dims or common_length(df.filter(F.coalesce(F.col(ok), F.lit(True))) if ok else df, vector)
-    rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims))
+    rows = scratch.keep(usable_vectors(df, record=record, vector=vector, ok=ok, dims=dims, packed=True))
     # equal vectors once, told by their digests
     left = scratch.keep(rows.groupBy("h").agg(F.min("record").alias("record"), F.any_value("v").alias("v")))
     firsts = left.select("h", F.col("record").alias("first"))

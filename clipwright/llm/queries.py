@@ -27,7 +27,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     clips = table(spark, sf_dir, "clips_split")
     who = {"speaker": name_key("source_speaker_id"), "index": index_key("speaker_idx")}
     roots = entity_components(clips, who).filter(F.col("node").startswith("speaker:")).select("root", F.substring("node", 9, 2**31 - 1).alias("speaker_a"))
-    others = roots.withColumnRenamed("speaker_a", "speaker_b")
+    others = roots.withColumnRenamed("speaker_a", "speaker_b").hint("merge")
     # a group's pairs are the result asked for; a large group's are made in several tasks
     return salted_join(roots, others, "root", heavy=heavy_keys(roots, "root")).filter("speaker_a < speaker_b").select("speaker_a", "speaker_b")
 

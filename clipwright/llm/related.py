@@ -79,7 +79,7 @@ def _only_stars(links: DataFrame) -> bool:
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest of itself and its neighbours."""
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).hint("merge")  # grows with the nodes, so it is never broadcast
     up = both.filter("v > u")
     joined = salted_join(up, least, "u", heavy=heavy_keys(up, "u"))
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -88,7 +88,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours link to the smallest of them. ``links`` has u > v."""
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    joined = salted_join(links, least, "u", heavy=heavy_keys(links, "u"))
+    joined = salted_join(links, least.hint("merge"), "u", heavy=heavy_keys(links, "u"))
     stars = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return stars.filter("u <> v").distinct()
 
