@@ -57,7 +57,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", *, scratch: Scratch
     else:
         raise RuntimeError(f"components not finished after {STEPS} steps")
     roots = links.select("u", "v")
-    alone = nodes.join(roots.select("u"), "u", "left_anti").join(roots.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
+    tied = roots.select("u").unionByName(roots.select(F.col("v").alias("u")).distinct())
+    alone = nodes.join(tied.hint("merge"), "u", "left_anti")
     out = scratch.keep(
         roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
         .unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
