@@ -33,7 +33,7 @@ from clipwright.storage import Scratch
 MAX_CELLS = 4096  # bounds what is broadcast; fewer cells than vectors ask for mean more work, not other results
 SAMPLE_PER_CELL = 64
 ROUNDS = 4
-FEW = 8192
+FEW = 40_000  # up to so many vectors comparing all costs less than another round
 BLOCK = 16_384
 LOOSE_CELL = 16_384
 SLACK = 1e-5
