@@ -104,12 +104,18 @@ def salted_aggregate(
 def salted_join(big: DataFrame, small: DataFrame, key: str, *, heavy: list, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Equi-join on ``key`` where ``heavy`` keys of ``big`` are spread over ``salts`` tasks and their rows of ``small`` repeated for each.
 
-    ``how``: inner, left (all rows of ``big``), left_semi or left_anti. Null keys match nothing. Without heavy keys this is a plain join.
+    ``how``: inner, left (all rows of ``big``), left_semi or left_anti. Null keys match nothing; where their rows stay they are spread too, as a
+    shuffle would send them all to one task. Without heavy keys an inner or semi join is a plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"how can't be {how}")
-    if not heavy:
+    keeps_nulls = how in ("left", "left_anti")
+    if not heavy and not keeps_nulls:
         return big.join(small, key, how)
-    salt = F.when(_is_heavy(F.col(key), heavy), F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    spread = _is_heavy(F.col(key), heavy)
+    if keeps_nulls:
+        spread = spread | F.col(key).isNull()
+    salt = F.when(spread, F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in big.columns)), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     copies = F.when(_is_heavy(F.col(key), heavy), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return big.withColumn("_salt", salt).join(small.withColumn("_salt", F.explode(copies)), [key, "_salt"], how).drop("_salt")
+    copied = small.withColumn("_join_salt", F.explode(copies) if heavy else F.lit(0))
+    return big.withColumn("_join_salt", salt).join(copied, [key, "_join_salt"], how).drop("_join_salt")

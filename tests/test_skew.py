@@ -13,6 +13,15 @@ def rows(spark):
     return spark.createDataFrame(data, SCHEMA)
 
 
+def test_null_keys_of_left_joins_are_spread(spark):
+    big = spark.createDataFrame([(None, i) for i in range(40)] + [("a", 1), ("b", 2)], "k string, i int")
+    small = spark.createDataFrame([("a", 9), (None, 8)], "k string, v int")
+    for heavy in ([], ["a"]):
+        got = salted_join(big, small, "k", heavy=heavy, how="left").collect()
+        assert len(got) == 42 and [(r["k"], r["i"]) for r in got if r["v"]] == [("a", 1)]
+        assert salted_join(big, small, "k", heavy=heavy, how="left_anti").count() == 41
+
+
 def test_heavy_keys_are_those_above_the_share(spark):
     assert heavy_keys(rows(spark), "k", 0.1) == ["hot"]
     assert heavy_keys(rows(spark).limit(0), "k") == []
