@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwright.operators.ranking import ranked
+from clipwright.operators.skew import heavy_keys, salted_join
 from clipwright.storage import Scratch
 
 
@@ -87,8 +88,9 @@ def cap_contributors(
     dealt = scratch.keep(sizes.join(over, "_who", "left_semi").groupBy("_who").applyInPandas(deal, "_who string, _stratum string, _quota long"))
     dealt = dealt.withColumn("_cell", F.concat_ws("\1", "_who", "_stratum")).select("_cell", "_quota")
     cell = F.concat_ws("\1", "_who", "_stratum")
-    small = dealt.count() <= 100_000  # a row is two short values; beyond that the join is a shuffle
-    marked = rows.withColumn("_cell", F.when(F.col("_who").isNotNull(), cell)).join(F.broadcast(dealt) if small else dealt, "_cell", "left")
+    # the table of quotas grows with the contributors over the cap, so Spark picks the join; large cells and rows without a contributor are spread in any case
+    celled = rows.withColumn("_cell", F.when(F.col("_who").isNotNull(), cell))
+    marked = salted_join(celled, dealt, "_cell", heavy=heavy_keys(celled.select("_cell"), "_cell"), how="left")
     order = [F.col("_quality").isNull(), -F.coalesce("_quality", F.lit(0.0)), F.col(record)]
     limited = scratch.keep(marked.filter("_quota is not null"))
     placed = ranked(limited, "_cell", order, "_rank").withColumn(kept, F.col("_rank") <= F.col("_quota"))
