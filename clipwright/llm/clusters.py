@@ -37,9 +37,10 @@ FEW = 40_000  # up to so many vectors comparing all costs less than another roun
 BLOCK = 16_384
 LOOSE_CELL = 16_384
 SLACK = 1e-5
+TEXT_DIMS = 256
 
 
-def hashed_features(df: DataFrame, text: str, into: str = "embedding", *, dims: int = 256) -> DataFrame:
+def hashed_features(df: DataFrame, text: str, into: str = "embedding", *, dims: int = TEXT_DIMS) -> DataFrame:
     """``df`` with ``into``: tf-idf of the text's words, hashed to ``dims`` features, as array<float>; null and empty texts give zeros, which no cluster takes."""
     words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
     terms = HashingTF(numFeatures=dims, inputCol="_w", outputCol="_tf").transform(df.withColumn("_w", F.filter(words, lambda w: w != "")))

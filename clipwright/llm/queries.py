@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwright.llm.bpe import encode_corpus
 from clipwright.llm.cap import cap_contributors, latest
-from clipwright.llm.clusters import describe_clusters, similarity_clusters
+from clipwright.llm.clusters import TEXT_DIMS, describe_clusters, hashed_features, similarity_clusters
 from clipwright.llm.level import reading_levels, train_level_model
 from clipwright.llm.lookalike import canonical_text, lookalike_pairs
 from clipwright.llm.mixture import Mixture, language_key, mix_sources, source_key
@@ -111,6 +111,13 @@ def p6_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_clusters(voices, similarity_clusters(voices, **VOICE), **VOICE)
 
 
+def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the documents by wording, through hashed weighted features: size and the three most typical documents of each with at least two."""
+    docs = hashed_features(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", "embedding")
+    settings = {"record": "doc_id", "vector": "embedding", "dims": TEXT_DIMS}
+    return describe_clusters(docs, similarity_clusters(docs, **settings), **settings).filter("size > 1")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "ids")
 
@@ -153,4 +160,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_levels(spark, sf_dir).filter("level_words >= 40 and reading_level >= 4").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p2_found, p2_strata, p4_found, p4_canonical, p5_found, p5_report, p6_found, p6_clusters, p7_ids, p8_mixture, p8_shares, p8_stretched, p9_found, p9_levels)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p2_found, p2_strata, p4_found, p4_canonical, p5_found, p5_report, p6_found, p6_clusters, p6_texts, p7_ids, p8_mixture, p8_shares, p8_stretched, p9_found, p9_levels)}

@@ -4,12 +4,15 @@ import base64
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from clipwright.llm import bpe, queries, sql
+from clipwright.llm import bpe, clusters, queries, sql
 from clipwright.llm.overlap import words_of
 from tests.helpers import DATA, rows_of, sql_rows
+from tests.llm.test_llm_operators import connected
 
 
 @pytest.mark.parametrize("name", sorted(sql.SQL))
@@ -96,6 +99,16 @@ def test_typical_members(spark):
         assert r["size"] == sizes.get(r["cluster_key"], 1) and len(r["typical"]) == min(3, r["size"])
 
 
+def test_text_clusters_equal_all_pairs(spark):
+    docs = clusters.hashed_features(queries.table(spark, DATA, "documents").select("doc_id", "text"), "text").select(F.col("doc_id").cast("string").alias("i"), "embedding").collect()
+    x = np.asarray([r["embedding"] for r in docs], np.float64)
+    n = np.linalg.norm(x, axis=1)
+    names, x = [r["i"] for r, k in zip(docs, n, strict=True) if k > 0], (x[n > 0] / n[n > 0, None]).astype(np.float32)
+    want = Counter(connected([(names[i], names[j]) for i, j in zip(*np.nonzero(x @ x.T >= 0.8), strict=True)]).values())
+    got = {r["cluster_key"]: r["size"] for r in queries.p6_texts(spark, DATA).collect()}
+    assert got == {k: c for k, c in want.items() if c > 1} and got
+
+
 def test_all_queries_give_rows(spark):
     for name in ("p2_strata", "p4_found", "p4_canonical", "p8_shares", "p9_found", "p9_levels"):
         assert queries.QUERIES[name](spark, DATA).count() > 0, name
