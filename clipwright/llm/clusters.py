@@ -404,7 +404,7 @@ def similarity_clusters(
 ) -> DataFrame:
     """(record, cluster_key): each usable record and the smallest record of its cluster, singles included.
 
-    ``cells`` defaults to three times the square root of the number of different vectors, at most ``MAX_CELLS``; like ``few`` (rounds go on above it) and ``block`` it
+    ``cells`` defaults to three times the square root of the number of different vectors, at most ``MAX_CELLS``; like ``few`` (rounds after the first go on above it) and ``block`` it
     decides about the work only, as each two alike vectors meet. Rows of one record are one node, whatever their vectors. Equal vectors are compared once. Unusable rows
     (see ``usable_vectors``) are left out; an empty table gives no rows.
     """
@@ -419,7 +419,7 @@ def similarity_clusters(
     edges = salted_join(rows.select("record", "h"), firsts, "h", heavy=heavy_keys(rows, "h")).select(F.col("record").alias("a"), F.col("first").alias("b")).filter("a <> b")
     n = left.count()
     for turn in range(ROUNDS):
-        if n <= few:
+        if n <= (few if turn else 1):  # the first round is for tables of every size
             break
         k = cells or min(MAX_CELLS, round(3 * math.sqrt(n)))
         cores = Cores(*fit_centroids(left, k, dims, scratch, n=n, seed=seed + turn), least)
