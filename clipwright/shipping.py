@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     here = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="clipwright-ship-"), "clipwright.zip")
+    folder = tempfile.mkdtemp(prefix="clipwright-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "clipwright.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(here):
             for f in files:
