@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from clipwright.plans import curation, profiles, skewed, voices
+from clipwright.plans import curation, exchange, profiles, skewed, voices
 
-MODULES = (skewed, curation, profiles, voices)
+MODULES = (skewed, curation, profiles, voices, exchange)
 
 
 def queries() -> dict:

@@ -59,7 +59,9 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, *, single: bool = True) -> None:
-    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    """With a header; blanks at the ends of a field stay, which Spark would cut otherwise."""
+    out = (df.coalesce(1) if single else df).write.mode("overwrite")
+    out.csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_text(df: DataFrame, column: str, path: str) -> None:

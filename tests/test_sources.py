@@ -16,7 +16,7 @@ def test_promote_replaces_a_table_read_from_itself(spark, tmp_path):
 
 
 def test_csv_keeps_ids_and_empty_strings(spark, tmp_path):
-    df = spark.createDataFrame([("007", "", 'a "q", b'), ("8", "x", "y")], "id string, flag string, t string")
+    df = spark.createDataFrame([("007", "", 'a "q", b'), ("8", "x", "y"), (" 9\t", " ", "\xa0z ")], "id string, flag string, t string")
     writers.write_csv(df, f"{tmp_path}/c")
     back = readers.read_csv(spark, f"{tmp_path}/c", "id string, flag string, t string")
     assert sorted(map(tuple, back.na.fill("").collect())) == sorted(map(tuple, df.collect()))
