@@ -21,7 +21,7 @@ def _place(spark: SparkSession) -> str:
 
 
 def csv_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Ids and labels through CSV; a null comes back as an empty string, blanks at the ends stay."""
+    """Ids and labels through CSV: nulls and empty strings are both an empty field, which is read as null; blanks at the ends stay."""
     place = _place(spark)
     write_csv(table(spark, d, "clips_annotated").select("row_id", "source_id", "source_speaker_id", "gender"), place, single=False)
     return read_csv(spark, place, "row_id long, source_id string, source_speaker_id string, gender string")
@@ -97,7 +97,7 @@ def published_columns(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (csv_trip, splits_trip, promote_trip, report_trip, document_defaults, lines_trip, checkpoint_trip, class_folders, wav_files, published_columns)}
 
 SQL = {
-    "csv_trip": "SELECT row_id, coalesce(source_id, '') AS source_id, coalesce(source_speaker_id, '') AS source_speaker_id, coalesce(gender, '') AS gender FROM clips_annotated",
+    "csv_trip": "SELECT row_id, nullif(source_id, '') AS source_id, nullif(source_speaker_id, '') AS source_speaker_id, nullif(gender, '') AS gender FROM clips_annotated",
     "splits_trip": "SELECT row_id, source_id, split FROM clips_split WHERE split IS NOT NULL",
     "promote_trip": "SELECT row_id, source_id FROM clips_split WHERE row_id % 2 = 0",
     "report_trip": "SELECT split AS value, count(*) AS n FROM clips_annotated GROUP BY 1",

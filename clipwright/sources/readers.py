@@ -24,7 +24,7 @@ def read_splits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header and given types; ids stay strings, with their leading zeros, and an empty field in quotes is an empty string."""
+    """CSV with a header and given types; ids stay strings, with their leading zeros and blanks at the ends. An empty field is null, one in quotes an empty string."""
     return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=True, nullValue="\0", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
