@@ -100,13 +100,15 @@ def test_typical_members(spark):
 
 
 def test_text_clusters_equal_all_pairs(spark):
-    docs = clusters.hashed_features(queries.table(spark, DATA, "documents").select("doc_id", "text"), "text").select(F.col("doc_id").cast("string").alias("i"), "embedding").collect()
+    features = clusters.hashed_features(queries.table(spark, DATA, "documents").select("doc_id", "text"), "text").select(F.col("doc_id").cast("string").alias("i"), "embedding")
+    docs = features.collect()
     x = np.asarray([r["embedding"] for r in docs], np.float64)
     n = np.linalg.norm(x, axis=1)
     names, x = [r["i"] for r, k in zip(docs, n, strict=True) if k > 0], (x[n > 0] / n[n > 0, None]).astype(np.float32)
     want = Counter(connected([(names[i], names[j]) for i, j in zip(*np.nonzero(x @ x.T >= 0.8), strict=True)]).values())
-    got = {r["cluster_key"]: r["size"] for r in queries.p6_texts(spark, DATA).collect()}
-    assert got == {k: c for k, c in want.items() if c > 1} and got
+    settings = {"record": "i", "vector": "embedding", "dims": clusters.TEXT_DIMS}
+    got = {r["cluster_key"]: r["size"] for r in clusters.describe_clusters(features, clusters.similarity_clusters(features, **settings), **settings).collect()}
+    assert got == want and max(got.values()) > 1
 
 
 def test_all_queries_give_rows(spark):
