@@ -182,6 +182,14 @@ def peak_dbfs(x: np.ndarray) -> float:
     return 20 * float(np.log10(p)) if p > 0 else FLOOR_DB
 
 
+def peak_and_rms(samples: Column) -> dict[str, Column]:
+    """``peak_dbfs`` and ``rms_db`` of an array of samples, in the JVM; silence has the floors of ``peak_dbfs`` and ``amp_to_db``."""
+    peak = F.array_max(F.transform(samples, lambda x: F.abs(x.cast("double"))))
+    square = F.aggregate(samples, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")) / F.size(samples)
+    loud = F.when(peak > 0, F.lit(20.0) * F.log10(peak)).otherwise(F.lit(FLOOR_DB))
+    return {"peak_dbfs": F.when(samples.isNotNull(), loud), "rms_db": F.lit(20.0) * F.log10(F.greatest(F.sqrt(square), F.lit(1e-8)))}
+
+
 def _response(b: tuple, a: tuple, n: int) -> np.ndarray:
     z = np.exp(-2j * np.pi * np.fft.rfftfreq(n))
     return (b[0] + b[1] * z + b[2] * z * z) / (a[0] + a[1] * z + a[2] * z * z)

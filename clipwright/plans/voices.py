@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwright.functions.audio import (
-    any_audio, audio_seconds, clean_audio, decoded, encoded, loudness_gain, loudness_report, loudness_status, measured_loudness, pop_columns, pop_rules, pop_suggestion, wav_seconds,
+    any_audio, audio_seconds, clean_audio, decoded, encoded, loudness_gain, loudness_report, loudness_status, measured_loudness, peak_and_rms, pop_columns, pop_rules, pop_suggestion, wav_seconds,
 )
 from clipwright.operators.classify import score
 from clipwright.operators.cleanup import drop_reason_counts, failed_rules
@@ -146,6 +146,12 @@ def loudness_lufs(spark: SparkSession, d: str) -> DataFrame:
     return _signals(spark, d).select("row_id", measured_loudness(F.col("samples"), F.col("rate")).alias("lufs"))
 
 
+def peak_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Peak and mean level of the voices' clips."""
+    levels = peak_and_rms(F.col("samples"))
+    return _signals(spark, d).select("row_id", *(F.round(c, 6).alias(n) for n, c in levels.items()))
+
+
 def mic_pops(spark: SparkSession, d: str) -> DataFrame:
     out = pop_columns(_signals(spark, d), "samples", "rate").drop("samples", "rate")
     return out.withColumns({c: F.round(c, 6) for c in ("peak_start_dbfs", "peak_to_rms_db", "decay_db")})
@@ -205,7 +211,7 @@ def hdbscan_cluster(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        l2_norm, label_centroids, cosine_self, nearest_label, noise_rescue, noise_rescue_strict, lr_score, cluster_votes, cluster_report, cluster_flags, cluster_renumber, cluster_vote_string,
+        l2_norm, label_centroids, cosine_self, nearest_label, noise_rescue, noise_rescue_strict, lr_score, cluster_votes, cluster_report, cluster_flags, cluster_renumber, cluster_vote_string, peak_levels,
         frame_smooth, gap_trim, gap_lengths, edge_trim, snr_metrics, pop_decision, pop_advice, loudness_decision, loudness_lufs, mic_pops, audio_clean, audio_drops, wav_round_trip, audio_forms, loudness_outcomes, voice_embed, file_lookup, hdbscan_cluster,
     )
 }
@@ -281,6 +287,8 @@ SQL = {
         CASE WHEN NOT coalesce(speech_ratio * 12 >= 8, false) THEN 'insufficient_decay' END) AS r FROM clips_split)""",
     "pop_advice": """SELECT language, percent, CASE WHEN percent < 5 THEN 'leave_as_is' WHEN percent < 10 THEN 'consider_conditional_fade_for_flagged' ELSE 'consider_global_fade_in' END AS suggestion
         FROM (SELECT language, count(*) FILTER (snr_db < 20) * 100.0::DOUBLE / count(*) AS percent FROM clips_split GROUP BY 1)""",
+    "peak_levels": f"""SELECT row_id, round(20 * log10(list_max(list_transform(e, lambda v: abs(v)))), 6) AS peak_dbfs,
+        round(20 * log10(greatest(sqrt(list_dot_product(e, e) / len(e)), 1e-8)), 6) AS rms_db FROM {_USABLE}""",
     "wav_round_trip": f"SELECT row_id, true AS same, 0.8::DOUBLE AS seconds FROM {_USABLE}",
     "audio_clean": f"SELECT row_id, CASE WHEN r IS NULL THEN 1.0::DOUBLE END AS speech_ratio, CASE WHEN r IS NULL THEN 0.78::DOUBLE END AS duration, r AS drop_reason FROM (SELECT row_id, {_DROP} AS r FROM {_CLIPS})",
     "audio_drops": f"SELECT drop_reason, count(*) AS n FROM (SELECT {_DROP} AS drop_reason FROM {_CLIPS}) WHERE drop_reason IS NOT NULL GROUP BY 1",

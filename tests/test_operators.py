@@ -323,3 +323,13 @@ def test_levelling_clips(spark):
     assert abs(audio.loudness(np.asarray(got[1]["x"]), 24_000) + 23) < 0.1 and not got[1]["loudness_clipped"] and got[5]["loudness_clipped"] and got[5]["peak_dbfs"] == 0.0
     report = {r["loudness_status"]: r for r in audio.loudness_report(done).collect()}
     assert report["normalized"]["clips"] == 2 and report["normalized"]["clipped"] == 1 and report["failed_loudness_measurement"]["mean_gain"] is None
+
+
+def test_peak_and_rms_equal_the_kernels(spark):
+    clips = {1: [0.5, -0.25, 0.1], 2: [0.0, 0.0], 3: None}
+    df = spark.createDataFrame(list(clips.items()), "i int, x array<double>")
+    got = {r["i"]: r for r in df.select("i", *(c.alias(n) for n, c in audio.peak_and_rms(F.col("x")).items())).collect()}
+    for i in (1, 2):
+        x = np.asarray(clips[i])
+        assert abs(got[i]["peak_dbfs"] - audio.peak_dbfs(x)) < 1e-9 and abs(got[i]["rms_db"] - audio.amp_to_db(audio.rms(x))) < 1e-9
+    assert got[3]["peak_dbfs"] is None
