@@ -333,3 +333,30 @@ def test_peak_and_rms_equal_the_kernels(spark):
         x = np.asarray(clips[i])
         assert abs(got[i]["peak_dbfs"] - audio.peak_dbfs(x)) < 1e-9 and abs(got[i]["rms_db"] - audio.amp_to_db(audio.rms(x))) < 1e-9
     assert got[3]["peak_dbfs"] is None
+
+
+def test_cleaned_audio_comes_back_in_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    clips = [None if i % 7 == 3 else np.zeros(4000, np.float32) if i % 7 == 5 else rng.normal(0, 0.2, 4000 + 10 * i).astype(np.float32) for i in range(40)]
+    assert [len(p) for p in audio.in_pieces([(x,) for x in clips[:3]], 1)] == [1, 1, 1] and [len(p) for p in audio.in_pieces([(None,)] * 5, 1)] == [5]
+    df = spark.createDataFrame([(i, None if x is None else x.tolist(), 8000) for i, x in enumerate(clips)], "i int, s array<float>, r int").coalesce(1)
+    sent = []
+    monkeypatch.setattr(audio.F, "arrow_udf", lambda f, schema: sent.append(f) or F.udf(lambda s, r: None, schema))
+    audio.clean_audio(df, "s", "r")
+    monkeypatch.undo()
+    lists, rates = audio.lists_of(clips), audio.pa.array([8000] * len(clips))
+    # whatever the batch that comes in, what is made at a time is bounded
+    pieces = list(sent[0](iter([(audio.pa.concat_arrays([lists] * 10), audio.pa.concat_arrays([rates] * 10))])))
+    assert sum(map(len, pieces)) == 400 and len(pieces) > 1 and max(4 * len(p.field("samples").values) for p in pieces) <= audio.PIECE
+    got = {r["i"]: r for r in audio.clean_audio(df, "s", "r").collect()}
+    for i, x in enumerate(clips):
+        y, m, why = audio.clean_clip(x, 8000) if x is not None else (None, None, "empty_after_trim")
+        assert got[i]["drop_reason"] == why and (got[i]["samples"] is None) == (y is None)
+        assert y is None or (np.array_equal(np.float32(got[i]["samples"]), y) and got[i]["duration"] == m["duration"] and got[i]["sampling_rate"] == audio.RATE)
+
+
+def test_counting_drops_cleans_each_clip_once(spark):
+    df = spark.createDataFrame([(1, [0.1] * 10, 8000)], "i int, s array<float>, r int")
+    counts = cleanup.drop_reason_counts(audio.clean_audio(df, "s", "r"))
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in counts.collect()] == [("empty_after_trim", 1)]
