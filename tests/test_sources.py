@@ -134,3 +134,32 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["transcription"]: r["drop_reason"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {"Ehe. Zvino": None, "": "empty_text", "x": "short"}
+
+
+def test_audio_steps_hold_bounded_batches(spark):
+    from clipwright.plans.voices import wav_round_trip
+    from clipwright.shipping import BATCH_BYTES, MOST_BYTES, ship
+    from tests.helpers import DATA
+
+    ship(spark)
+    assert int(spark.conf.get(BATCH_BYTES).rstrip("b")) <= MOST_BYTES
+    # encoding, decoding and measuring are one step, so rows with clips don't wait for steps with little input
+    assert wav_round_trip(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_decoded_clips_come_back_in_pieces(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from clipwright.functions import audio
+
+    sent = []
+    df = spark.createDataFrame([(encode_wav(np.ones(8), 8000),)], "a binary")
+    real = audio.F.arrow_udf
+    monkeypatch.setattr(audio.F, "arrow_udf", lambda f, schema: sent.append(f) or real(f, schema))
+    assert audio.any_audio(df, "a").first()["samples"] == [1.0] * 8
+    clips = [None, b"junk", *(encode_wav(np.full(100_000, i / 32), 8000) for i in range(30))]
+    pieces = list(sent[0](iter([pa.array(clips, pa.binary())])))
+    assert sum(map(len, pieces)) == 32 and len(pieces) > 2 and max(4 * len(p.field("x").values) for p in pieces) <= audio.PIECE
+    got = [x for p in pieces for x in p.to_pylist()]
+    assert got[0] == got[1] == {"x": None, "r": None} and all(x["r"] == 8000 and len(x["x"]) == 100_000 and x["x"][-1] == i / 32 for i, x in enumerate(got[2:]))
