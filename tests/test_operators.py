@@ -360,3 +360,29 @@ def test_counting_drops_cleans_each_clip_once(spark):
     counts = cleanup.drop_reason_counts(audio.clean_audio(df, "s", "r"))
     assert counts._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert [tuple(r) for r in counts.collect()] == [("empty_after_trim", 1)]
+
+
+@pytest.mark.parametrize("k", [4, 16])
+def test_tree_from_near_rows_and_joins_equals_the_whole(k):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 0.05, (70, 5)) for c in (0, 1, 2, 30)] + [rng.uniform(-9, 9, (40, 5)), [[200.0] * 5]])[rng.permutation(321)]
+    n, columns = len(x), [(lo, x[lo : lo + 50]) for lo in range(0, 321, 50)]
+    core = density.core_distances(x, 4)
+    found = [density.nearest_rows(x[lo : lo + 100], iter(columns), k) for lo in range(0, n, 100)]
+    at, far = (np.concatenate([f[j] for f in found]) for j in range(2))
+    assert np.allclose(far, np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), axis=1)[:, :k], atol=1e-9) and np.allclose(far[:, 3], core, atol=1e-6)
+    core = far[:, 3]
+    a, b = np.repeat(np.arange(n), k), at.ravel()
+    d = np.maximum(np.maximum(far.ravel(), core[a]), core[b])
+    kept, comp = density.forest(a, b, d, n, far[:, -1])
+    ends, flat = np.unique(comp, return_inverse=True)
+    assert 1 < len(ends) < n and len(kept) == n - len(ends)
+    # any spanning tree of the components bounds the joins that are looked for
+    chain = density.spanning_tree(x, core)[::-1]
+    way, _ = density.forest(flat[chain[:, 0].astype(int)], flat[chain[:, 1].astype(int)], 1.05 * chain[:, 2], len(ends))
+    ea, eb, ed = flat[chain[way, 0].astype(int)], flat[chain[way, 1].astype(int)], 1.05 * chain[way, 2]
+    height = density.heights(ea, eb, ed, len(ends))[flat]
+    joins = [density.cross_edges(x[lo : lo + 100], lo, iter(columns), flat, core, height) for lo in range(0, n, 100)]
+    a, b, d = (np.concatenate([v[kept], *(j[i] for j in joins)]) for i, v in enumerate((a, b, d)))
+    tree, _ = density.forest(a, b, d, n)
+    assert len(tree) == n - 1 and np.allclose(np.sort(d[tree]), density.spanning_tree(x, core)[:, 2], atol=1e-6)
